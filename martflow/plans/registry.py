@@ -75,3 +75,30 @@ REPORT_SQL = {
 
 for _name, _sql in REPORT_SQL.items():
     register(_name, with_models(_sql))(_report(_name))
+
+
+# Operator scenarios.
+from martflow.operators import quality as _q  # noqa: E402
+from martflow.plans import oracle as _o  # noqa: E402
+from martflow.plans import scenarios as _s  # noqa: E402
+
+_SCEN_SQL = _o.scenario_sql()
+_SUITE = _q.SILVER_SUITE
+_SCEN_SQL.update({
+    "dq_summary": _o.dq_summary_sql(_SUITE),
+    "dq_failures": _o.dq_failures_sql(_SUITE),
+    "dq_summary_staged": _o.dq_summary_sql(_SUITE, staged=True),
+    "dq_failures_staged": _o.dq_failures_sql(_SUITE, staged=True),
+    "dq_unique": _o.dq_failures_sql(_s.suite_of("unique"), staged=True),
+    "dq_not_null": _o.dq_failures_sql(_s.suite_of("not_null"), staged=True),
+    "dq_non_negative": _o.dq_failures_sql(_s.suite_of("non_negative"), staged=True),
+    "dq_unique_pair": _o.dq_failures_sql(_s.suite_of("unique_combination"), staged=True),
+})
+
+
+def _scenario(fn) -> Query:
+    return lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
+
+
+for _name, _fn in _s.SCENARIOS.items():
+    register(_name, _SCEN_SQL.get(_name))(_scenario(_fn))
