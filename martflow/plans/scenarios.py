@@ -177,3 +177,85 @@ SCENARIOS = {
     "dq_non_negative": lambda w: quality.failures(staged_tables(w), suite_of("non_negative")),
     "dq_unique_pair": lambda w: quality.failures(staged_tables(w), suite_of("unique_combination")),
 }
+
+
+# --- sources, sinks and streams (write to a fresh folder below the checkpoint root) ----
+
+from pyspark.sql import types as T  # noqa: E402
+
+from martflow import schemas  # noqa: E402
+from martflow.session import scratch_dir  # noqa: E402
+from martflow.sources.landing import read_landing, write_landing  # noqa: E402
+from martflow.sources.tables import TableStore  # noqa: E402
+from martflow.streaming.ingest import read_landed, stream_landing, stream_upsert  # noqa: E402
+
+LANDING_FILES = 4
+L = T.LongType()
+ENTITY_SCHEMAS = {
+    "customers": schemas.customers_schema(key_type=L),
+    "products": schemas.products_schema(money=schemas.WIDE_MONEY, key_type=L),
+    "stores": schemas.stores_schema(key_type=L),
+    "orders": schemas.orders_schema(money=schemas.WIDE_MONEY, key_type=L),
+    "orderitems": schemas.orderitems_schema(money=schemas.WIDE_MONEY, key_type=L),
+}
+
+
+def _land(w: Warehouse, entity: str) -> str:
+    """Write the staged entity as landing CSV files; returns the prefix."""
+    path = scratch_dir(w.spark, f"landing-{entity}")
+    write_landing(getattr(w, f"stg_{entity}"), path, ENTITY_SCHEMAS[entity], files=LANDING_FILES)
+    return path
+
+
+def landing_batch(entity: str):
+    """S1-S3 (and the older batch scans of orders / items): CSV prefix -> typed rows."""
+    def run(w: Warehouse) -> DataFrame:
+        good, _ = read_landing(w.spark, _land(w, entity), ENTITY_SCHEMAS[entity])
+        return good.drop("ingestion_ts")
+    return run
+
+
+def stream_ingest(entity: str):
+    """S4/S5, X1/X2: each landed file loaded once by a file stream, one file per batch."""
+    def run(w: Warehouse) -> DataFrame:
+        src = _land(w, entity)
+        out = scratch_dir(w.spark, f"staging-{entity}")
+        q = stream_landing(w.spark, src, ENTITY_SCHEMAS[entity], out, checkpoint=out + "-ckpt",
+                           max_files_per_trigger=1)
+        q.awaitTermination()
+        return read_landed(w.spark, out).drop("ingestion_ts", "load_batch")
+    return run
+
+
+def stream_upsert_orders(w: Warehouse) -> DataFrame:
+    """X3/X4: micro-batches -> fact_orders rules -> upsert into the stored silver table."""
+    src = _land(w, "orders")
+    store = TableStore(w.spark, scratch_dir(w.spark, "store"))
+    q = stream_upsert(w.spark, src, ENTITY_SCHEMAS["orders"], store, "core", "fact_orders",
+                      ["order_id"], silver.fact_orders, checkpoint=store.root + "-ckpt",
+                      late_policy="merge", max_files_per_trigger=1,
+                      cluster_by=["created_at", "order_id"])
+    q.awaitTermination()
+    return store.read("core", "fact_orders")
+
+
+def pipeline_fct_sales(w: Warehouse) -> DataFrame:
+    """The whole build (staging -> silver -> quality gate -> gold -> history) into a
+    fresh table store; returns the stored flagship mart."""
+    from martflow.plans.pipeline import run_pipeline
+    store = TableStore(w.spark, scratch_dir(w.spark, "warehouse"))
+    run_pipeline(w, store)
+    return store.read("marts", "fct_sales")
+
+
+SCENARIOS.update({
+    "landing_customers": landing_batch("customers"),
+    "landing_products": landing_batch("products"),
+    "landing_stores": landing_batch("stores"),
+    "landing_orders_batch": landing_batch("orders"),
+    "landing_orderitems_batch": landing_batch("orderitems"),
+    "stream_ingest_orders": stream_ingest("orders"),
+    "stream_ingest_orderitems": stream_ingest("orderitems"),
+    "stream_upsert_orders": stream_upsert_orders,
+    "pipeline_fct_sales": pipeline_fct_sales,
+})
