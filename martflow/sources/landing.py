@@ -33,6 +33,17 @@ CSV_OPTIONS = {
 }
 
 
+def whole_row_parsing(spark: SparkSession) -> None:
+    """Make the CSV parser check every row's field count.
+
+    With parser column pruning (Spark's default) only the referenced columns
+    are parsed, so a consumer that needs few columns (a ``count()``, the
+    quarantine branch) would let short and long rows through as good rows.
+    CSV is only used for landing files, so this is scoped to them in practice.
+    """
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+
+
 def with_source_file(raw: DataFrame) -> DataFrame:
     """Keep the file each row came from (read at scan time; also in streams)."""
     return raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
@@ -60,9 +71,12 @@ def type_rows(raw: DataFrame, schema: T.StructType, load_stamp=None) -> DataFram
             reasons.append(F.when(F.col(f.name).isNotNull() & t.isNull(),
                                   F.lit(f"bad {f.name}")))
     stamp = load_stamp if load_stamp is not None else F.current_timestamp().cast(T.TimestampNTZType())
+    # The quarantined record keeps every field (or the unparsable line).
+    raw_text = F.coalesce(F.col(CORRUPT),
+                          F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in schema.fields]))
     return raw.select(*typed, stamp.alias(LOAD_COL),
                       F.coalesce(*reasons).alias("_reason"),
-                      F.col(CORRUPT), F.col(SOURCE_FILE))
+                      raw_text.alias(CORRUPT), F.col(SOURCE_FILE))
 
 
 def split_good_bad(typed: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -76,6 +90,7 @@ def split_good_bad(typed: DataFrame, schema: T.StructType) -> tuple[DataFrame, D
 def read_landing(spark: SparkSession, path: str, schema: T.StructType,
                  load_stamp=None) -> tuple[DataFrame, DataFrame]:
     """Batch scan of a landing prefix: (good typed rows with load stamp, quarantine)."""
+    whole_row_parsing(spark)
     raw = with_source_file(spark.read.schema(raw_schema(schema)).options(**CSV_OPTIONS).csv(path))
     return split_good_bad(type_rows(raw, schema, load_stamp), schema)
 

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martflow.operators.merge import merge_upsert
 from martflow.sources.landing import (CSV_OPTIONS, raw_schema, split_good_bad, type_rows,
-                                      with_source_file)
+                                      whole_row_parsing, with_source_file)
 from martflow.sources.tables import TableStore
 
 BATCH_COL = "load_batch"
@@ -36,6 +36,7 @@ BATCH_COL = "load_batch"
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None) -> DataFrame:
+    whole_row_parsing(spark)
     reader = spark.readStream.schema(raw_schema(schema)).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
