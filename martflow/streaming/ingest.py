@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from martflow.operators.clean import newer_than
 from martflow.operators.merge import merge_upsert
 from martflow.sources.landing import (CSV_OPTIONS, raw_schema, split_good_bad, type_rows,
                                       whole_row_parsing, with_source_file)
@@ -82,7 +83,7 @@ def stream_upsert(spark: SparkSession, path: str, schema: T.StructType, store: T
                   model: Callable[[DataFrame], DataFrame], checkpoint: str,
                   late_policy: str = "merge", trigger: str = "availableNow",
                   max_files_per_trigger: int | None = None,
-                  cluster_by: Sequence[str] | None = None) -> StreamingQuery:
+                  cluster_by: Sequence[str] | None = None, grain: str = "day") -> StreamingQuery:
     """Micro-batches of landed files -> ``model`` (clean + newest per key) -> upsert."""
     raw = landing_stream(spark, path, schema, max_files_per_trigger)
 
@@ -93,10 +94,16 @@ def stream_upsert(spark: SparkSession, path: str, schema: T.StructType, store: T
         stamp = F.current_timestamp().cast(T.TimestampNTZType())
         good, _ = split_good_bad(type_rows(batch, schema, stamp), schema)
         incoming = model(good)
-        existing = store.read(layer, table)
-        hwm = info.get("hwm") if info else None
-        merged = merge_upsert(existing, incoming, keys, late_policy=late_policy, hwm=hwm, dedupe=False)
-        store.replace(layer, table, merged, cluster_by=cluster_by, hwm_col="created_at",
-                      meta={"stream_batch": batch_id})
+        if late_policy == "drop":
+            incoming = newer_than(incoming, info.get("hwm") if info else None)
+        # the batch is read three times (touched partitions, merge, mark)
+        incoming = incoming.persist()
+        try:
+            store.upsert(layer, table, incoming, keys,
+                         lambda existing, inc: merge_upsert(existing, inc, keys, late_policy="merge",
+                                                            dedupe=False),
+                         grain=grain, cluster_by=cluster_by, meta={"stream_batch": batch_id})
+        finally:
+            incoming.unpersist()
 
     return _start(raw, upsert, checkpoint, trigger, None)
