@@ -134,17 +134,30 @@ def summary(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUI
 
 
 def failures(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUITE) -> DataFrame:
-    """The offending rows (row checks, n_records = 1) and values (uniqueness)."""
+    """The offending rows (row checks, n_records = 1) and values (uniqueness).
+
+    All row checks of one table run in a single pass: each row yields the
+    array of checks it fails (usually empty), which is exploded.
+    """
     parts: list[DataFrame] = []
+    by_model: dict[str, list[Check]] = {}
     for ch in suite:
-        df = tables[ch.model]
-        if ch.kind in ROW_KINDS:
-            parts.append(df.where(_row_fail(ch)).select(
-                *_label_cols(ch), _value_text(MODEL_KEYS.get(ch.model, ch.columns)).alias("value"),
-                F.lit(1).cast("long").alias("n_records")))
-        else:
-            parts.append(_duplicates(df, ch).select(
-                *_label_cols(ch), _value_text(ch.columns).alias("value"), "n_records"))
+        by_model.setdefault(ch.model, []).append(ch)
+    for model, checks in by_model.items():
+        df = tables[model]
+        row_checks = [ch for ch in checks if ch.kind in ROW_KINDS]
+        if row_checks:
+            hits = F.array(*[F.when(_row_fail(ch), F.struct(*_label_cols(ch))) for ch in row_checks])
+            failed = df.select(_value_text(MODEL_KEYS.get(model, row_checks[0].columns)).alias("value"),
+                               F.filter(hits, lambda h: h.isNotNull()).alias("_hits"))
+            parts.append(failed.where(F.size("_hits") > 0)
+                         .select(F.explode("_hits").alias("_h"), "value")
+                         .select("_h.model", "_h.test", "_h.columns", "value",
+                                 F.lit(1).cast("long").alias("n_records")))
+        for ch in checks:
+            if ch.kind in GROUP_KINDS:
+                parts.append(_duplicates(df, ch).select(
+                    *_label_cols(ch), _value_text(ch.columns).alias("value"), "n_records"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

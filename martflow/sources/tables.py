@@ -2,7 +2,7 @@
 
 Layout::
 
-    <root>/<schema>/<table>/data-<n>/part-*.parquet  data written by version n
+    <root>/<schema>/<table>/data-<n>-<id>/part-*.parquet  data written by version n
     <root>/<schema>/<table>/_commits/<n>.json         commit record of version n
 
 A version becomes visible only when its commit record exists.  Commit records
@@ -26,6 +26,7 @@ partitions), not O(table).
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,6 +94,25 @@ class TableStore:
         finally:
             out.close()
 
+    def _new_data_dir(self, layer: str, name: str, v: int) -> str:
+        """A folder no earlier attempt used: a write retried after a lost
+        executor or driver never collides with its own partial output (which
+        stays uncommitted and invisible)."""
+        return f"{self.table_path(layer, name)}/data-{v:06d}-{uuid.uuid4().hex[:8]}"
+
+    def ensure(self, layer: str, name: str, schema, load_col: str | None = "ingestion_ts") -> int:
+        """Create-if-missing: commit an empty version 0 with ``schema`` (+ the
+        load stamp column) so readers of a never-loaded table get zero rows."""
+        vs = self.versions(layer, name)
+        if vs:
+            return vs[-1]
+        from pyspark.sql import types as T
+        fields = list(schema.fields)
+        if load_col and load_col not in schema.fieldNames():
+            fields.append(T.StructField(load_col, T.TimestampNTZType()))
+        empty = self.spark.createDataFrame([], T.StructType(fields))
+        return self.replace(layer, name, empty)
+
     # read / write -------------------------------------------------------------
     def exists(self, layer: str, name: str) -> bool:
         return bool(self.versions(layer, name))
@@ -130,7 +150,7 @@ class TableStore:
         """Full rebuild: the new version holds exactly ``df``."""
         prev = self.versions(layer, name)
         v = (prev[-1] + 1) if prev else 0
-        path = f"{self.table_path(layer, name)}/data-{v:06d}"
+        path = self._new_data_dir(layer, name, v)
         self._write_version(df, path, cluster_by)
         record = {"version": v, "data": [path], "mode": "replace"}
         record.update(self._marks(path, hwm_col))
@@ -144,7 +164,7 @@ class TableStore:
         prev = self.versions(layer, name)
         v = (prev[-1] + 1) if prev else 0
         old = self.commit_info(layer, name) if prev else None
-        path = f"{self.table_path(layer, name)}/data-{v:06d}"
+        path = self._new_data_dir(layer, name, v)
         self._write_version(df, path, None)
         record = {"version": v, "data": (old["data"] if old else []) + [path], "mode": "append"}
         if hwm_col:
@@ -202,7 +222,7 @@ class TableStore:
         prev = self.versions(layer, name)
         v = (prev[-1] + 1) if prev else 0
         info = self.commit_info(layer, name) if prev else None
-        base = f"{self.table_path(layer, name)}/data-{v:06d}"
+        base = self._new_data_dir(layer, name, v)
         part = self.time_partition(part_col, grain)
         if info is None or "partitions" not in info:
             existing = self.read(layer, name) if info else None
