@@ -88,51 +88,68 @@ def rebuild_scd2(versions: DataFrame, keys: Sequence[str], version_col: str = "c
     return v.select(*cols, F.col(version_col).alias(VALID_FROM), VALID_TO)
 
 
-def apply_scd2(history: DataFrame | None, batch: DataFrame, keys: Sequence[str],
-               version_col: str = "created_at", load_col: str = "ingestion_ts",
-               close_missing: bool = False, now=None,
-               levels: Sequence[str] = ("day", "year")) -> DataFrame:
-    """Merge one batch of source versions into ``history`` (H1-H4).
-
-    Closed rows pass through untouched.  Only the key's last row and the new
-    versions are joined, both at most one row per key on the history side, so
-    the joins are 1:1 or 1:few and hot keys in the batch are split by AQE.
+def apply_scd2_split(open_rows: DataFrame, closed_rows: DataFrame | None, batch: DataFrame,
+                     keys: Sequence[str], version_col: str = "created_at",
+                     load_col: str = "ingestion_ts", close_missing: bool = False, now=None,
+                     levels: Sequence[str] = ("day", "year")) -> tuple[DataFrame, DataFrame]:
+    """Merge a batch into history kept as (open rows, closed rows).
+
+    Returns ``(newly_closed, new_open)``: closed history is append-only, the
+    open part has one row per key and is replaced.  Closed rows are only read
+    for keys present in the batch (semi join), to find the last version of a
+    key whose open row was closed by a hard delete.  Cost per run:
+    O(keys + batch + closed rows of the batch's keys), independent of how
+    long the history is.
     """
-    if history is None:
-        return rebuild_scd2(batch, keys, version_col, load_col, levels)
     keys = list(keys)
-    cols = history.columns
+    cols = open_rows.columns
     tiebreak = [c for c in batch.columns if c not in set(keys) | {version_col, load_col}]
     batch = versions_per_key(batch, keys, version_col, load_col, tiebreak)
+    batch_keys = batch.select(*keys).distinct()
 
-    # The last row of each key (the open one if any).
-    last = latest_per_key(history, keys, order=[F.col(VALID_FROM).desc_nulls_last()])
-    last_info = last.select(*keys, F.col(version_col).alias("_last_v"),
-                            F.col(VALID_TO).alias("_last_to"))
+    # Last row per batch key: the open one, else the newest closed one.
+    info_cols = [*keys, VALID_FROM, F.col(version_col).alias("_last_v"), F.col(VALID_TO).alias("_last_to")]
+    cands = open_rows.join(batch_keys, keys, "left_semi").select(*info_cols)
+    if closed_rows is not None:
+        cands = cands.unionByName(closed_rows.join(batch_keys, keys, "left_semi").select(*info_cols))
+    last_info = latest_per_key(cands, keys, order=[F.col(VALID_FROM).desc_nulls_last()]).drop(VALID_FROM)
 
     cand = batch.join(last_info, keys, "left")
     is_new = (F.col("_last_v").isNull()
               | (F.col(version_col) > F.col("_last_v"))
               | (F.col("_last_to").isNotNull() & (F.col(version_col) >= F.col("_last_v"))))
-    new = cand.where(is_new)
-    new = next_in_key(new, keys, version_col, VALID_TO, levels)
+    new = next_in_key(cand.where(is_new), keys, version_col, VALID_TO, levels)
     new = new.withColumn(
         VALID_FROM,
         F.when(F.col("_last_to").isNotNull(), F.greatest(F.col(version_col), F.col("_last_to")))
-         .otherwise(F.col(version_col)))
-    new = new.drop("_last_v", "_last_to")
+         .otherwise(F.col(version_col))).drop("_last_v", "_last_to")
 
     first_new = new.groupBy(*keys).agg(F.min(version_col).alias("_first_new"))
-    open_rows = history.where(F.col(VALID_TO).isNull())
-    closed_rows = history.where(F.col(VALID_TO).isNotNull())
-    open_rows = open_rows.join(first_new, keys, "left")
+    upd = open_rows.join(first_new, keys, "left")
     close_at = F.col("_first_new")
     if close_missing:
-        present = batch.select(*keys).distinct().withColumn("_present", F.lit(True))
-        open_rows = open_rows.join(present, keys, "left")
+        upd = upd.join(batch_keys.withColumn("_present", F.lit(True)), keys, "left")
         now_lit = ts_literal(now) if now is not None else F.localtimestamp().cast(T.TimestampNTZType())
         close_at = F.coalesce(close_at, F.when(F.col("_present").isNull(), now_lit))
-    open_rows = open_rows.withColumn(VALID_TO, close_at)
-    return (closed_rows.select(*cols)
-            .unionByName(open_rows.select(*cols))
-            .unionByName(new.select(*cols)))
+    upd = upd.withColumn(VALID_TO, close_at).select(*cols)
+    new = new.select(*cols)
+    newly_closed = upd.where(F.col(VALID_TO).isNotNull()).unionByName(new.where(F.col(VALID_TO).isNotNull()))
+    new_open = upd.where(F.col(VALID_TO).isNull()).unionByName(new.where(F.col(VALID_TO).isNull()))
+    return newly_closed, new_open
+
+
+def apply_scd2(history: DataFrame | None, batch: DataFrame, keys: Sequence[str],
+               version_col: str = "created_at", load_col: str = "ingestion_ts",
+               close_missing: bool = False, now=None,
+               levels: Sequence[str] = ("day", "year")) -> DataFrame:
+    """Merge one batch of source versions into ``history`` (H1-H4), whole-table form.
+
+    Closed rows pass through untouched; see :func:`apply_scd2_split`.
+    """
+    if history is None:
+        return rebuild_scd2(batch, keys, version_col, load_col, levels)
+    open_rows = history.where(F.col(VALID_TO).isNull())
+    closed_rows = history.where(F.col(VALID_TO).isNotNull())
+    newly_closed, new_open = apply_scd2_split(open_rows, closed_rows, batch, keys, version_col,
+                                              load_col, close_missing, now, levels)
+    return closed_rows.unionByName(newly_closed).unionByName(new_open)

@@ -88,14 +88,33 @@ def build_gold(store: TableStore) -> dict[str, int]:
 
 
 def build_history(store: TableStore, close_missing: bool = False, now=None) -> dict[str, int]:
+    """SCD2 snapshots kept as ``<name>_closed`` (append-only) + ``<name>_open``
+    (one row per key, replaced).  Without hard-delete detection only staging
+    folders added since the last run are read (older versions change nothing)."""
     out = {}
     for name, (entity, keys) in SNAPSHOTS.items():
-        h = history.apply_scd2(store.read("core", name), store.read("staging", f"stg_{entity}"),
-                               keys, close_missing=close_missing, now=now)
-        out[name] = store.replace("core", name, h)
+        src = f"stg_{entity}"
+        info = store.commit_info("core", f"{name}_open")
+        if info is None:
+            h = history.rebuild_scd2(store.read("staging", src), keys)
+            closed, opened = h.where("valid_to IS NOT NULL"), h.where("valid_to IS NULL")
+        else:
+            batch = (store.read("staging", src) if close_missing
+                     else store.read_new("staging", src, info.get("source_version")))
+            closed, opened = history.apply_scd2_split(
+                store.read("core", f"{name}_open"), store.read("core", f"{name}_closed"), batch, keys,
+                close_missing=close_missing, now=now)
+        meta = {"source_version": store.versions("staging", src)[-1]}
+        out[f"{name}_closed"] = store.append("core", f"{name}_closed", closed, meta=meta)
+        out[f"{name}_open"] = store.replace("core", f"{name}_open", opened, meta=meta)
     return out
 
 
+def read_history(store: TableStore, name: str):
+    """The whole SCD2 table: closed versions plus open rows."""
+    return store.read("core", f"{name}_closed").unionByName(store.read("core", f"{name}_open"))
+
+
 def run_pipeline(w: Warehouse, store: TableStore, late_policy: str = "drop",
                  gate: bool = True, grain: str = "day") -> dict[str, int]:
     """``grain``: time partitioning of the fact tables (day for large volumes)."""
@@ -110,4 +129,4 @@ def run_pipeline(w: Warehouse, store: TableStore, late_policy: str = "drop",
 
 
 __all__ = ["run_pipeline", "load_staging", "build_silver", "check_silver", "build_gold",
-           "build_history", "QualityGateError", "union_evolving"]
+           "build_history", "read_history", "QualityGateError", "union_evolving"]
