@@ -130,3 +130,15 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, wh, scratch)
     assert after["1997"] != before["1997"]                                 # old versions replaced
     assert _rows(store.read("core", "fo")) == _rows(silver.fact_orders(
         wh.stg_orders.where("created_at < TIMESTAMP_NTZ'1998-01-01' OR created_at >= TIMESTAMP_NTZ'1997-12-20'")))
+
+
+def test_ensure_creates_empty_table_once_and_layers_resolve(spark, scratch):
+    from martflow.schemas import Layers
+    store = TableStore(spark, scratch("store"), Layers(staging="STAGING", core="CORE", marts="MARTS"))
+    schema = ENTITY_SCHEMAS["orders"]
+    assert store.ensure("staging", "orders", schema) == 0
+    df = store.read("staging", "orders")
+    assert df.count() == 0 and df.columns == [f.name for f in schema.fields] + ["ingestion_ts"]
+    assert store.ensure("staging", "orders", schema) == 0        # already there: no new version
+    assert "/STAGING/orders" in store.table_path("staging", "orders")
+    assert Layers().resolve("marts", "CUSTOM") == "CUSTOM"        # explicit name wins
