@@ -251,7 +251,24 @@ def pipeline_fct_sales(w: Warehouse) -> DataFrame:
     return store.read("marts", "fct_sales")
 
 
+def landing_orders_quarantine(w: Warehouse) -> DataFrame:
+    """Order files read under the original landing contract (amounts NUMBER(6,2)):
+    every order with an amount beyond 9999.99 is quarantined with its reason."""
+    narrow = schemas.orders_schema(money=schemas.LANDING_MONEY, key_type=L)
+    _, bad = read_landing(w.spark, _land(w, "orders"), narrow)
+    return bad.select("reason", "order_id", "created_at")
+
+
+def late_orders_dropped(w: Warehouse) -> DataFrame:
+    """Rows the parity (drop) policy discards on the second load: staged orders
+    not newer than the high-water mark of the first load's fact table."""
+    existing = silver.fact_orders(load1(w.stg_orders))
+    return merge.late_rows(existing, w.stg_orders).select("order_id", "created_at", "order_status")
+
+
 SCENARIOS.update({
+    "landing_orders_quarantine": landing_orders_quarantine,
+    "late_orders_dropped": late_orders_dropped,
     "landing_customers": landing_batch("customers"),
     "landing_products": landing_batch("products"),
     "landing_stores": landing_batch("stores"),

@@ -83,7 +83,8 @@ def split_good_bad(typed: DataFrame, schema: T.StructType) -> tuple[DataFrame, D
     good = typed.where(F.col("_reason").isNull()).select(*[f.name for f in schema.fields], LOAD_COL)
     bad = typed.where(F.col("_reason").isNotNull()).select(
         F.col("_reason").alias("reason"), F.col(CORRUPT).alias("raw_record"),
-        F.col(SOURCE_FILE).alias("source_file"), LOAD_COL)
+        F.col(SOURCE_FILE).alias("source_file"), LOAD_COL,
+        *[f.name for f in schema.fields])  # typed fields (NULL where the cast failed)
     return good, bad
 
 
