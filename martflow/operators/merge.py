@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.operators.clean import high_water_mark, newer_than
+from martflow.operators.clean import high_water_mark, newer_than, ts_literal
 from martflow.operators.dedupe import latest_per_key
 
 
@@ -92,5 +92,4 @@ def late_rows(existing: DataFrame, incoming: DataFrame, ts_col: str = "created_a
         hwm = high_water_mark(existing, ts_col)
     if hwm is None:
         return incoming.limit(0)
-    from martflow.operators.clean import ts_literal
     return incoming.where(F.col(ts_col).isNull() | (F.col(ts_col) <= ts_literal(hwm)))

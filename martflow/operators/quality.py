@@ -75,8 +75,8 @@ MODEL_KEYS = {
     "fact_orderitems": ("order_id", "product_id"),
 }
 
-SUMMARY_SCHEMA = "model string, test string, columns string, failures bigint"
-FAILURES_SCHEMA = "model string, test string, columns string, value string, n_records bigint"
+# Output columns: summary -> model, test, columns, failures (bigint);
+# failures -> model, test, columns, value (offending key / value as text), n_records (bigint).
 
 
 def _row_fail(check: Check):

@@ -9,7 +9,7 @@ engine returns the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martflow.functions.columns import agg_money
@@ -75,7 +75,6 @@ def report_status_share(fact_orders: DataFrame) -> DataFrame:
     the already aggregated status table (one row per status).
     """
     counts = report_order_status(fact_orders)
-    from pyspark.sql import Window
     total = F.sum("count_status").over(Window.partitionBy())
     return counts.select(
         "order_status", "count_status",
