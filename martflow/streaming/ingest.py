@@ -86,7 +86,20 @@ def stream_upsert(spark: SparkSession, path: str, schema: T.StructType, store: T
                   cluster_by: Sequence[str] | None = None, grain: str = "day") -> StreamingQuery:
     """Micro-batches of landed files -> ``model`` (clean + newest per key) -> upsert."""
     raw = landing_stream(spark, path, schema, max_files_per_trigger)
+    fn = upsert_batch_fn(schema, store, layer, table, keys, model, late_policy, cluster_by, grain)
+    return _start(raw, fn, checkpoint, trigger, None)
 
+
+def upsert_batch_fn(schema: T.StructType, store: TableStore, layer: str, table: str,
+                    keys: Sequence[str], model: Callable[[DataFrame], DataFrame],
+                    late_policy: str = "merge", cluster_by: Sequence[str] | None = None,
+                    grain: str = "day") -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` body: idempotent per batch id.
+
+    If the table commit of batch n exists, a re-delivery of batch n (the
+    stream's own commit was lost with the driver) changes nothing; if the
+    upsert failed before its commit, the re-run applies it once.
+    """
     def upsert(batch: DataFrame, batch_id: int) -> None:
         info = store.commit_info(layer, table)
         if info is not None and info.get("stream_batch", -1) >= batch_id:
@@ -106,4 +119,4 @@ def stream_upsert(spark: SparkSession, path: str, schema: T.StructType, store: T
         finally:
             incoming.unpersist()
 
-    return _start(raw, upsert, checkpoint, trigger, None)
+    return upsert
