@@ -53,3 +53,14 @@ def test_top_k_has_no_global_sort(spark):
     assert "Limit" in text
     phys = plan_of(df)
     assert "TakeOrderedAndProject" in phys
+
+
+def test_dimension_joins_become_broadcast_only_after_measuring(spark):
+    """No broadcast hint in the logical plan; AQE picks broadcast at runtime for
+    the measured-small dimensions of fct_sales."""
+    df = se.queries()["fct_sales"](spark, SF_SMOKE)
+    assert "broadcast" not in df._jdf.queryExecution().logical().toString().lower()
+    df.collect()  # runs this Dataset's own query execution, so its plan is final
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final
+    assert "BroadcastHashJoin" in final
