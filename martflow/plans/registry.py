@@ -29,7 +29,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(Warehouse(spark, sf_dir), name)
+    return lambda spark, sf_dir: getattr(Warehouse.of(spark, sf_dir), name)
 
 
 # Model-level queries: staging, silver and gold relations, whole.
@@ -40,7 +40,7 @@ for _name in ("stg_orders", "stg_orderitems", "stg_customers", "stg_products", "
 
 
 def _report(name: str) -> Query:
-    return lambda spark, sf_dir: Warehouse(spark, sf_dir).report(name)
+    return lambda spark, sf_dir: Warehouse.of(spark, sf_dir).report(name)
 
 
 REPORT_SQL = {
@@ -97,7 +97,7 @@ _SCEN_SQL.update({
 
 
 def _scenario(fn) -> Query:
-    return lambda spark, sf_dir: fn(Warehouse(spark, sf_dir))
+    return lambda spark, sf_dir: fn(Warehouse.of(spark, sf_dir))
 
 
 for _name, _fn in _s.SCENARIOS.items():

@@ -23,6 +23,21 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.tables = DriverTables(spark, sf_dir)
 
+    _shared: dict[tuple[int, str], "Warehouse"] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
+        """The warehouse of a session and data folder, built once.
+
+        Only logical plans are shared (analysed DataFrames, no cached data), so
+        later queries skip re-analysing the common staging/silver plans.
+        """
+        key = (id(spark), sf_dir)
+        w = cls._shared.get(key)
+        if w is None or w.spark is not spark:
+            w = cls._shared[key] = cls(spark, sf_dir)
+        return w
+
     # staging ---------------------------------------------------------------
     @cached_property
     def stg_orders(self) -> DataFrame:

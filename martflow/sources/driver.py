@@ -20,12 +20,16 @@ class DriverTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return os.path.join(self.sf_dir, f"{name}.parquet")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """One DataFrame per table: the file listing and footer schema are read once."""
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
