@@ -266,7 +266,22 @@ def late_orders_dropped(w: Warehouse) -> DataFrame:
     return merge.late_rows(existing, w.stg_orders).select("order_id", "created_at", "order_status")
 
 
+def pipeline_landing_fct_sales(w: Warehouse) -> DataFrame:
+    """The original's flow end to end: the five entities are landed as CSV files,
+    dimensions are batch-loaded, orders and items streamed file by file into
+    staging, then silver, quality gate, gold and history; returns the mart."""
+    from martflow.plans.pipeline import run_pipeline_from_landing
+    root = scratch_dir(w.spark, "landing-all")
+    for e in ENTITY_SCHEMAS:
+        write_landing(getattr(w, f"stg_{e}"), f"{root}/{e}", ENTITY_SCHEMAS[e], files=LANDING_FILES)
+    store = TableStore(w.spark, scratch_dir(w.spark, "warehouse"))
+    run_pipeline_from_landing(w.spark, root, store, ENTITY_SCHEMAS, checkpoint_root=store.root + "-ckpt",
+                              grain=FACT_GRAIN, max_files_per_trigger=1)
+    return store.read("marts", "fct_sales")
+
+
 SCENARIOS.update({
+    "pipeline_landing_fct_sales": pipeline_landing_fct_sales,
     "landing_orders_quarantine": landing_orders_quarantine,
     "late_orders_dropped": late_orders_dropped,
     "landing_customers": landing_batch("customers"),

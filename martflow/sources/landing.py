@@ -30,6 +30,8 @@ CSV_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
     "enforceSchema": "true",
+    # a prefix may hold one folder per upload
+    "recursiveFileLookup": "true",
 }
 
 

@@ -120,3 +120,36 @@ def upsert_batch_fn(schema: T.StructType, store: TableStore, layer: str, table:
             incoming.unpersist()
 
     return upsert
+
+
+def stream_to_table(spark: SparkSession, path: str, schema: T.StructType, store: TableStore,
+                    layer: str, table: str, checkpoint: str, trigger: str = "availableNow",
+                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Continuous load into an append-only stored table (``<table>`` and
+    ``<table>_quarantine``), each micro-batch committed once.
+
+    The quarantine commit is written first and the table commit last; both
+    record the batch id, so after a failure between the two the re-run skips
+    whatever was already committed.
+    """
+    raw = landing_stream(spark, path, schema, max_files_per_trigger)
+    qtable = f"{table}_quarantine"
+
+    def applied(name: str, batch_id: int) -> bool:
+        info = store.commit_info(layer, name)
+        return info is not None and info.get("stream_batch", -1) >= batch_id
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        if applied(table, batch_id):
+            return
+        stamp = F.current_timestamp().cast(T.TimestampNTZType())
+        typed = type_rows(batch, schema, stamp).persist()
+        try:
+            good, bad = split_good_bad(typed, schema)
+            if not applied(qtable, batch_id):
+                store.append(layer, qtable, bad, meta={"stream_batch": batch_id})
+            store.append(layer, table, good, hwm_col="created_at", meta={"stream_batch": batch_id})
+        finally:
+            typed.unpersist()
+
+    return _start(raw, load, checkpoint, trigger, None)
