@@ -62,9 +62,18 @@ def _typed(c: str, dtype: T.DataType):
     return F.expr(f"try_cast(`{c}` AS {dtype.simpleString()})")
 
 
-def type_rows(raw: DataFrame, schema: T.StructType, load_stamp=None) -> DataFrame:
+# Every row needs its version time: without it a row can be neither ranked nor
+# compared with a high-water mark (a first build would keep it, an incremental
+# one silently drop it), so it is quarantined in both.
+REQUIRED = ("created_at",)
+
+
+def type_rows(raw: DataFrame, schema: T.StructType, load_stamp=None,
+              required=REQUIRED) -> DataFrame:
     """Typed columns + ``_reason`` (NULL for good rows)."""
     reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed row"))]
+    reasons += [F.when(F.col(c).isNull(), F.lit(f"missing {c}"))
+                for c in required if c in schema.fieldNames()]
     typed = []
     for f in schema.fields:
         t = _typed(f.name, f.dataType)

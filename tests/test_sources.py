@@ -33,6 +33,7 @@ def _dirty_file(path, good_row):
         f"{pid},{name},{cat},{brand},12345.67,{ts}",             # over 9999.99
         f'{pid},"{name}, deluxe",{cat},{brand},{price},{ts}',    # quoted comma (good)
         f'{pid},"",{cat},{brand},{price},{ts}',                  # empty quoted field (good, NULL)
+        f"{pid},{name},{cat},{brand},{price},",                  # no version time
     ]
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, "dirty.csv"), "w") as f:
@@ -48,7 +49,7 @@ def test_landing_quarantines_bad_rows(spark, wh, scratch):
                                                r.price, r.created_at.isoformat()))
     good, bad = read_landing(spark, os.path.join(root, "*"), PRODUCTS_LANDING)
     reasons = sorted(x.reason for x in bad.collect())
-    assert reasons == ["bad price", "bad price", "malformed row", "malformed row"]
+    assert reasons == ["bad price", "bad price", "malformed row", "malformed row", "missing created_at"]
     assert good.count() == clean.count() + 2
     names = {x.product_name for x in good.where(F.col("product_id") == str(r.product_id)).collect()}
     assert f"{r.product_name}, deluxe" in names and None in names
