@@ -219,35 +219,62 @@ class TableStore:
         over by reference in the new commit.
         """
         keys = list(keys)
+        info = self.commit_info(layer, name)
+        part = self.time_partition(part_col, grain)
+        if info is None or "partitions" not in info:
+            existing = self.read(layer, name) if info else None
+            return self._commit_partitions(layer, name, merge_fn(existing, incoming), None, part,
+                                           cluster_by, hwm_col, incoming, meta)
+        stored = self.read(layer, name)
+        touched = (stored.select(*keys, part_col).join(incoming.select(*keys), keys, "left_semi")
+                   .select(part.alias(PART))
+                   .unionByName(incoming.select(part.alias(PART))).distinct())
+        # one value per time partition: bounded by the number of partitions
+        affected = {NULL_PART if r[0] is None else r[0] for r in touched.collect()}
+        subset = self.read_partitions(layer, name, affected)
+        return self._commit_partitions(layer, name, merge_fn(subset, incoming), affected, part,
+                                       cluster_by, hwm_col, incoming, meta)
+
+    def read_partitions(self, layer: str, name: str, partitions, version: int | None = None) -> DataFrame | None:
+        """Rows of the given time partitions only (their folders are read, nothing else)."""
+        info = self.commit_info(layer, name, version)
+        old = (info or {}).get("partitions", {})
+        dirs = [d for p in sorted(partitions) for d in old.get(p, [])]
+        return self.spark.read.option("mergeSchema", "true").parquet(*dirs) if dirs else None
+
+    def replace_partitions(self, layer: str, name: str, df: DataFrame, partitions, part_col: str,
+                           grain: str = "day", cluster_by: Sequence[str] | None = None,
+                           meta: dict | None = None) -> int:
+        """New content for exactly ``partitions`` (all partitions when None); the
+        other partitions of the previous version are kept by reference."""
+        info = self.commit_info(layer, name)
+        if info is None or "partitions" not in info:
+            partitions = None
+        return self._commit_partitions(layer, name, df, None if partitions is None else set(partitions),
+                                       self.time_partition(part_col, grain), cluster_by, None, None, meta)
+
+    def _commit_partitions(self, layer, name, df, affected, part, cluster_by, hwm_col, marks_from,
+                           meta) -> int:
         prev = self.versions(layer, name)
         v = (prev[-1] + 1) if prev else 0
         info = self.commit_info(layer, name) if prev else None
         base = self._new_data_dir(layer, name, v)
-        part = self.time_partition(part_col, grain)
-        if info is None or "partitions" not in info:
-            existing = self.read(layer, name) if info else None
-            merged = merge_fn(existing, incoming)
-            pmap = self._write_partitioned(merged, base, part, cluster_by)
+        written = self._write_partitioned(df, base, part, cluster_by) if affected != set() else {}
+        if affected is None:
+            pmap = written
         else:
-            stored = self.read(layer, name)
-            touched = (stored.select(*keys, part_col).join(incoming.select(*keys), keys, "left_semi")
-                       .select(part.alias(PART))
-                       .unionByName(incoming.select(part.alias(PART))).distinct())
-            # one value per time partition: bounded by the number of partitions
-            affected = {NULL_PART if r[0] is None else r[0] for r in touched.collect()}
-            old = info["partitions"]
-            dirs = [d for p in sorted(affected) for d in old.get(p, [])]
-            subset = self.spark.read.option("mergeSchema", "true").parquet(*dirs) if dirs else None
-            merged = merge_fn(subset, incoming)
-            pmap = {p: d for p, d in old.items() if p not in affected}
-            pmap.update(self._write_partitioned(merged, base, part, cluster_by))
-        record = {"version": v, "mode": "upsert", "partitions": pmap,
+            pmap = {p: d for p, d in info["partitions"].items() if p not in affected}
+            pmap.update(written)
+        record = {"version": v, "mode": "partitions", "partitions": pmap,
+                  "touched": sorted(written if affected is None else affected),
                   "data": [d for p in sorted(pmap) for d in pmap[p]]}
-        if hwm_col:
-            m = incoming.agg(F.max(hwm_col)).first()[0]
+        if hwm_col and marks_from is not None:
+            m = marks_from.agg(F.max(hwm_col)).first()[0]
             marks = [x for x in ((info or {}).get("hwm"), None if m is None else m.isoformat(sep=" "))
                      if x is not None]
             record["hwm"] = max(marks) if marks else None
+        elif info and "hwm" in info:
+            record["hwm"] = info["hwm"]
         record.update(meta or {})
         self._commit(layer, name, record)
         return v
