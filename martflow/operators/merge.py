@@ -91,5 +91,5 @@ def late_rows(existing: DataFrame, incoming: DataFrame, ts_col: str = "created_a
     if hwm is None:
         hwm = high_water_mark(existing, ts_col)
     if hwm is None:
-        return incoming.limit(0)
+        return incoming.where(F.lit(False))
     return incoming.where(F.col(ts_col).isNull() | (F.col(ts_col) <= ts_literal(hwm)))

@@ -10,6 +10,8 @@ alone.  Models are plain functions; this module only sequences them.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from martflow.operators import history, quality
 from martflow.operators.clean import newer_than
 from martflow.operators.merge import merge_upsert, union_evolving
@@ -135,7 +137,7 @@ def build_gold(store: TableStore, grain: str = "day") -> dict[str, int]:
         dirty = dirty_sales_partitions(store, info["sources"], grain)
         fo_sub = store.read_partitions("core", "fact_orders", dirty) if dirty else None
         if fo_sub is None:
-            fo_sub = fo.limit(0)
+            fo_sub = fo.where(F.lit(False))  # empty, same schema
         foi_sub = foi.join(fo_sub.select("order_id"), "order_id", "left_semi")
         out["fct_sales"] = store.replace_partitions(
             "marts", "fct_sales", gold.fct_sales(fo_sub, foi_sub, dc, ds), dirty, "order_created_at",

@@ -134,7 +134,7 @@ class TableStore:
         seen = set(self.commit_info(layer, name, since_version)["data"]) if since_version is not None else set()
         dirs = [d for d in info["data"] if d not in seen]
         if not dirs:
-            return self.read(layer, name).limit(0)
+            return self.read(layer, name).where(F.lit(False))
         return self.spark.read.option("mergeSchema", "true").parquet(*dirs)
 
     def _write_version(self, df: DataFrame, path: str, cluster_by: Sequence[str] | None) -> None:
