@@ -29,7 +29,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.schemas import Layers
@@ -137,6 +137,22 @@ class TableStore:
             return self.read(layer, name).where(F.lit(False))
         return self.spark.read.option("mergeSchema", "true").parquet(*dirs)
 
+    @staticmethod
+    def _observed(df: DataFrame, hwm_col: str | None):
+        """Attach a max(hwm_col) observation: the mark is computed by the write
+        job itself (no second pass over the data)."""
+        if not hwm_col:
+            return df, None
+        obs = Observation()
+        return df.observe(obs, F.max(hwm_col).alias("hwm")), obs
+
+    @staticmethod
+    def _mark_text(obs) -> str | None:
+        if obs is None:
+            return None
+        m = obs.get.get("hwm")
+        return None if m is None else m.isoformat(sep=" ")
+
     def _write_version(self, df: DataFrame, path: str, cluster_by: Sequence[str] | None) -> None:
         if cluster_by:
             # Range-partition and sort on the clustering columns: files and row
@@ -151,9 +167,11 @@ class TableStore:
         prev = self.versions(layer, name)
         v = (prev[-1] + 1) if prev else 0
         path = self._new_data_dir(layer, name, v)
+        df, obs = self._observed(df, hwm_col)
         self._write_version(df, path, cluster_by)
         record = {"version": v, "data": [path], "mode": "replace"}
-        record.update(self._marks(path, hwm_col))
+        if hwm_col:
+            record["hwm"] = self._mark_text(obs)
         record.update(meta or {})
         self._commit(layer, name, record)
         return v
@@ -165,10 +183,11 @@ class TableStore:
         v = (prev[-1] + 1) if prev else 0
         old = self.commit_info(layer, name) if prev else None
         path = self._new_data_dir(layer, name, v)
+        df, obs = self._observed(df, hwm_col)
         self._write_version(df, path, None)
         record = {"version": v, "data": (old["data"] if old else []) + [path], "mode": "append"}
         if hwm_col:
-            new_mark = self._marks(path, hwm_col).get("hwm")
+            new_mark = self._mark_text(obs)
             marks = [m for m in ((old or {}).get("hwm"), new_mark) if m is not None]
             record["hwm"] = max(marks) if marks else None
         record.update(meta or {})
@@ -259,6 +278,7 @@ class TableStore:
         v = (prev[-1] + 1) if prev else 0
         info = self.commit_info(layer, name) if prev else None
         base = self._new_data_dir(layer, name, v)
+        df, obs = self._observed(df, hwm_col if marks_from is not None else None)
         written = self._write_partitioned(df, base, part, cluster_by) if affected != set() else {}
         if affected is None:
             pmap = written
@@ -269,9 +289,10 @@ class TableStore:
                   "touched": sorted(written if affected is None else affected),
                   "data": [d for p in sorted(pmap) for d in pmap[p]]}
         if hwm_col and marks_from is not None:
-            m = marks_from.agg(F.max(hwm_col)).first()[0]
-            marks = [x for x in ((info or {}).get("hwm"), None if m is None else m.isoformat(sep=" "))
-                     if x is not None]
+            # max over the written rows = max over the batch: rows of the batch
+            # that lost to a stored version are not newer than the old mark
+            new_mark = self._mark_text(obs) if affected != set() else None
+            marks = [x for x in ((info or {}).get("hwm"), new_mark) if x is not None]
             record["hwm"] = max(marks) if marks else None
         elif info and "hwm" in info:
             record["hwm"] = info["hwm"]
@@ -279,13 +300,6 @@ class TableStore:
         self._commit(layer, name, record)
         return v
 
-    def _marks(self, path: str, hwm_col: str | None) -> dict:
-        if not hwm_col:
-            return {}
-        row = self.spark.read.parquet(path).agg(F.max(hwm_col).alias("m")).first()
-        m = row["m"] if row else None
-        return {"hwm": None if m is None else m.isoformat(sep=" ")}
-
     def high_water_mark(self, layer: str, name: str):
         info = self.commit_info(layer, name)
         return None if info is None else info.get("hwm")
