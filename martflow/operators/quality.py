@@ -95,28 +95,41 @@ def _value_text(cols: Sequence[str]):
     return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
 
 
-def _duplicates(df: DataFrame, check: Check) -> DataFrame:
+def _duplicates(df: DataFrame, check: Check, scope: DataFrame | None = None) -> DataFrame:
     cols = list(check.columns)
     src = df.select(*cols)
     if check.kind == "unique":
         src = src.where(F.col(cols[0]).isNotNull())
+    if scope is not None:
+        # only values present in the changed rows can have become duplicates
+        src = src.join(scope.select(*cols).distinct(), cols, "left_semi")
     return src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
 
 
-def summary(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUITE) -> DataFrame:
-    """One row per assertion: (model, test, columns, failures)."""
+def summary(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUITE,
+            changed: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """One row per assertion: (model, test, columns, failures).
+
+    ``changed`` (optional) maps a model to the rows written since the table last
+    passed: row checks then run on those rows only, and uniqueness is counted
+    over the whole table but only for the values present in them (the rest was
+    unique before and no new copy of it exists).  Models missing from
+    ``changed`` are checked in full.
+    """
+    changed = changed or {}
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for ch in suite:
         by_model.setdefault(ch.model, []).append(ch)
     for model, checks in by_model.items():
         df = tables[model]
+        scope = changed.get(model)
         row_checks = [ch for ch in checks if ch.kind in ROW_KINDS]
         if row_checks:
             # One pass over the table for all row-wise checks, then unpivot.
             aggs = [F.sum(F.when(_row_fail(ch), 1).otherwise(0)).cast("long").alias(f"_f{i}")
                     for i, ch in enumerate(row_checks)]
-            wide = df.agg(*aggs)
+            wide = (df if scope is None else scope).agg(*aggs)
             rows = F.array(*[
                 F.struct(F.lit(ch.model).alias("model"), F.lit(ch.kind).alias("test"),
                          F.lit(ch.column_label).alias("columns"),
@@ -125,7 +138,7 @@ def summary(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUI
             parts.append(wide.select(F.inline(rows)))
         for ch in checks:
             if ch.kind in GROUP_KINDS:
-                parts.append(_duplicates(df, ch).agg(F.count(F.lit(1)).alias("failures"))
+                parts.append(_duplicates(df, ch, scope).agg(F.count(F.lit(1)).alias("failures"))
                              .select(*_label_cols(ch), "failures"))
     out = parts[0]
     for p in parts[1:]:

@@ -49,3 +49,15 @@ def test_each_assertion_catches_its_defect(wh, check):
     assert (check.model, check.kind, check.column_label) in got
     offenders = quality.failures(tables, [check])
     assert offenders.count() >= 1
+
+
+def test_scoped_suite_catches_duplicates_across_partitions(wh):
+    """Uniqueness scoped to changed rows still counts copies anywhere in the table."""
+    tables = dict(silver_tables(wh))
+    fo = tables["fact_orders"]
+    changed_rows = fo.orderBy("order_id").limit(3)       # the rows of a touched partition
+    tables["fact_orders"] = fo.unionByName(changed_rows)  # whose keys now exist twice
+    got = failing(quality.summary(tables, changed={"fact_orders": changed_rows}))
+    assert ("fact_orders", "unique", "order_id") in got
+    clean = dict(silver_tables(wh))
+    assert failing(quality.summary(clean, changed={"fact_orders": changed_rows})) == set()
