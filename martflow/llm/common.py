@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +36,37 @@ def drop_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     r = rejected.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__rejected"))
     return left.join(r, left.doc_id.eqNullSafe(r["__id"]) & (left["__hash"] == r["__rejected"]),
                      "left_anti").select(*docs.columns)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, limit: int,
+                    value: int | None = None) -> DataFrame:
+    """doc_id, y and text of at most ``limit`` labelled documents outside the held-out fold.
+
+    Rows are taken in the order of a hash of their id, so the sample does not
+    depend on partitions.  Null or contradicting labels are left out.  With
+    ``value`` only rows of that label are taken.
+    """
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+             .where(F.pmod(crc32_of_id(), F.lit(folds)) != held)
+             .groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("other")).where("y = other"))
+    if value is not None:
+        known = known.where(F.col("y") == value)
+    ids = known.orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(limit).select("doc_id", "y")
+    # at most ``limit`` ids
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
+    """Coefficients and, last, the intercept of a ridge logistic regression (Newton's method)."""
+    a = np.column_stack([x, np.ones(len(x))]).astype(np.float64)
+    scale = np.maximum(np.abs(a).max(axis=0), 1e-12)
+    a = a / scale
+    w = np.zeros(a.shape[1])
+    penalty = np.append(np.full(a.shape[1] - 1, ridge), 1e-6)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), a.T @ (p - y) + penalty * w)
+        w -= np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return w / scale

@@ -4,27 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, near_dedup, sharding
-from martflow.llm.common import table
+from martflow.llm import decontaminate, language_id, near_dedup, quality, sharding, token_records, toxicity
+from martflow.llm.common import crc32_of_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
+WORD_TOKENIZER = "word_bpe_49k.json"
+
+
+def held_out(folds: int, fold: int):
+    return F.pmod(crc32_of_id(), F.lit(folds)) == fold
+
+
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = token_records.write(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+    return token_records.digests(folder, manifest)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", folds=5, held=0))
+    return found.select("doc_id", held_out(5, 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.fit(docs, folds=3, held=1))
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=3, held=1))
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_simhash_near_dedup, op6_decontamination, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_token_records, op2_toxicity, op4_simhash_near_dedup, op5_language_id, op6_decontamination, op8_quality,
+    op10_sharding)}
 
 ORACLE: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE}
