@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, language_id, near_dedup, quality, sharding, token_records, toxicity
-from martflow.llm.common import crc32_of_id, table
+from martflow.llm import decontaminate, language_id, near_dedup, quality, sharding, simhash, token_records, toxicity
+from martflow.llm.common import crc32_of_id, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -31,6 +31,20 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract columns, then the rows within the radius of every fiftieth document (itself included; else null)."""
+    rows = simhash.compare_in_order(table(spark, sf_dir, "documents"))
+    rows = stored(rows, "compared")
+    asked = rows.where(F.pmod("doc_id", F.lit(50)) == 0)
+    near = stored(simhash.within(asked, rows), "within").withColumnRenamed("fp", "__fp")
+    counted = asked.join(near, asked.fp == near["__fp"]).select(*rows.columns, F.col("n").alias("n_within_radius"))
+    rest = rows.where(F.col("doc_id").isNull() | (F.pmod("doc_id", F.lit(50)) != 0)).withColumn(
+        "n_within_radius", F.lit(None).cast("long"))
+    return counted.union(rest).select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fp")).alias("fingerprint"),
+        F.lower(F.hex("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next", "n_within_radius")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
@@ -58,7 +72,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_records, op2_toxicity, op4_simhash_near_dedup, op5_language_id, op6_decontamination, op8_quality,
+    op1_token_records, op2_toxicity, op3_document_fingerprints, op4_simhash_near_dedup, op5_language_id, op6_decontamination, op8_quality,
     op10_sharding)}
 
 ORACLE: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE}

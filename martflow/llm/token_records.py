@@ -90,15 +90,8 @@ class WordEncoder:
         self.id_bytes = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.cache_words = cache_words
-        self.clear()
-
-    def clear(self) -> None:
+        self.cache = W.WordCache(cache_words)
         self.pieces: dict[str, list[int]] = {}
-        self.known = np.zeros(0, np.uint64)  # sorted word hashes
-        self.row = np.zeros(0, np.int64)  # their rows in the table below
-        self.at = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
 
     def _encode_pieces(self, new: list[str]) -> None:
         step = 64
@@ -124,31 +117,17 @@ class WordEncoder:
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and the offsets of each text in it."""
         w = W.words(raw, at, W.NON_SPACE, lower=False)
-        distinct, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.known, distinct)
-        seen = place < len(self.known)
-        seen[seen] = self.known[place[seen]] == distinct[seen]
-        if not seen.all():
-            if len(self.known) + len(distinct) > self.cache_words:
-                self.clear()
-                seen = np.zeros(len(distinct), bool)
-            view, new = memoryview(raw), first[~seen]
-            ids = self._encode_words([str(view[a:b], "utf-8") for a, b in zip(w.start[new].tolist(), w.end[new].tolist())])
+        view = memoryview(raw)
+
+        def encode_new(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if len(self.pieces) > self.cache.limit:
+                self.pieces.clear()
+            ids = self._encode_words([str(view[a:b], "utf-8") for a, b in zip(w.start[places].tolist(), w.end[places].tolist())])
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            rows = len(self.at) - 1 + np.arange(len(ids))
-            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))])
-            known, row = np.concatenate([self.known, distinct[~seen]]), np.concatenate([self.row, rows])
-            order = np.argsort(known)
-            self.known, self.row = known[order], row[order]
-            place = np.searchsorted(self.known, distinct)
-        row = self.row[place][which]
-        size = self.at[row + 1] - self.at[row]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids[np.repeat(self.at[row] - (ends - size), size) + np.arange(total)]
-        upto = np.concatenate([[0], ends])[np.searchsorted(w.start, at)]
-        return flat, upto
+            return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
+
+        flat, ends = self.cache.encode(w.hash, encode_new)
+        return flat, np.concatenate([[0], ends])[np.searchsorted(w.start, at)]
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -148,3 +148,45 @@ def combine(w: Words, *gaps: int) -> tuple[np.ndarray, np.ndarray]:
         h = mix(h + w.hash[gap:gap + n] * np.uint64(2 * k + 5) + np.uint64(gap))
     same = w.doc[:n] == w.doc[reach:]
     return h[same], w.doc[:n][same]
+
+
+class WordCache:
+    """Token ids of words by word hash, for at most ``limit`` words; then it starts anew."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = np.zeros(0, np.uint64)  # sorted hashes
+        self.row = np.zeros(0, np.int64)  # their rows in the table below
+        self.at = np.zeros(1, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def encode(self, hashes: np.ndarray, encode_new) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array, and the end of each word in it.
+
+        ``encode_new`` gets places of new words in ``hashes`` and returns their
+        ids in one array and the number of ids of each.
+        """
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        seen = place < len(self.known)
+        seen[seen] = self.known[place[seen]] == distinct[seen]
+        if not seen.all():
+            if len(self.known) + len(distinct) > self.limit:
+                self.clear()
+                seen = np.zeros(len(distinct), bool)
+            flat, sizes = encode_new(first[~seen])
+            rows = len(self.at) - 1 + np.arange(len(sizes))
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, flat.astype(np.uint32)])
+            known, row = np.concatenate([self.known, distinct[~seen]]), np.concatenate([self.row, rows])
+            order = np.argsort(known)
+            self.known, self.row = known[order], row[order]
+            place = np.searchsorted(self.known, distinct)
+        row = self.row[place][which]
+        size = self.at[row + 1] - self.at[row]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[np.repeat(self.at[row] - (ends - size), size) + np.arange(total)], ends
