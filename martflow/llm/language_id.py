@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from martflow.llm import words as W
-from martflow.llm.common import crc32_of_id, drop_rows, stored
+from martflow.llm.common import crc32_of_id, stored
 
 PER_LANGUAGE = 1_500
 GRAM_BITS = 17
@@ -243,23 +243,20 @@ def fit(docs: DataFrame, folds: int = 3, held: int = 1, per_language: int = PER_
     return Model(languages, centred, words >= SCRIPT_SHARE * np.maximum(1, words.sum(axis=0)))
 
 
-def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred, score and the ``keep`` columns of every document, whole texts."""
-    cols = ["doc_id", *keep]
-
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id, lang_pred and score of every document, whole texts."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            lang, score = classify(b.column("__text"), model)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(lang, pa.string()), pa.array(score)],
-                                             [*cols, "lang_pred", "score"])
-
-    source = docs.select(*cols, F.col("text").alias("__text"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.select(*cols).schema.fields)
-    return source.mapInArrow(batches, f"{schema}, lang_pred string, score double")
+            lang, score = classify(b.column("text"), model)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score)],
+                                             ["doc_id", "lang_pred", "score"])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, "doc_id long, lang_pred string, score double")
 
 
-def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.5) -> DataFrame:
-    """The documents with a language that makes up at least ``min_score`` of them, unchanged."""
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    found = predict(hashed, model, ("text_hash",)).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
-    return drop_rows(docs, stored(found.select("doc_id", "text_hash").distinct(), "no-language"))
+def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.4) -> DataFrame:
+    """The documents with a language that makes up at least ``min_score`` of them, unchanged; one pass, no shuffle."""
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            lang, score = classify(b.column("text"), model)
+            yield b.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(lang, score)], pa.bool_()))
+    return docs.mapInArrow(batches, docs.schema)

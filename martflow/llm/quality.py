@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.common import drop_rows, labelled_sample, logistic, stored
+from martflow.llm.common import labelled_sample, logistic, stored
 
 PER_CLASS = 4_000
 SNIPPETS = 4_000
@@ -123,28 +123,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     return Model(good, bad, tuple(curve))
 
 
-def score(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, score and the ``keep`` columns of every document, whole texts."""
-    cols = ["doc_id", *keep]
+def score_texts(texts: pa.Array, model: Model | None, sizes: Sizes | None = None) -> np.ndarray:
+    """Probability of the label for each text."""
+    if model is None:
+        return np.full(len(texts), 0.5)
+    sizes = sizes or Sizes(model.good, model.bad)
+    curve = np.array(model.curve)
+    x = np.array([sizes.measures(bytes(t.as_buffer()) if t.is_valid else None) for t in texts]).reshape(-1, 3)
+    return 1 / (1 + np.exp(-np.clip(x @ curve[:-1] + curve[-1], -30, 30)))
 
+
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id and score of every document, whole texts."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(model.good, model.bad) if model else None
-        curve = np.array(model.curve) if model else None
         for b in it:
-            if model is None:
-                p = np.full(b.num_rows, 0.5)
-            else:
-                x = np.array([sizes.measures(bytes(t.as_buffer()) if t.is_valid else None) for t in b.column("__text")]).reshape(-1, 3)
-                p = 1 / (1 + np.exp(-np.clip(x @ curve[:-1] + curve[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(p)], [*cols, "score"])
-
-    source = docs.select(*cols, F.col("text").cast("binary").alias("__text"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.select(*cols).schema.fields)
-    return source.mapInArrow(batches, f"{schema}, score double")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score_texts(b.column("text"), model, sizes))],
+                                             ["doc_id", "score"])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
-    """The documents whose score reaches ``threshold``, unchanged."""
-    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    low = score(hashed, model, ("text_hash",)).where(F.col("score") < threshold).select("doc_id", "text_hash").distinct()
-    return drop_rows(docs, stored(low, "low-quality"))
+    """The documents whose score reaches ``threshold``, unchanged; one pass, no shuffle."""
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Sizes(model.good, model.bad) if model else None
+        for b in it:
+            yield b.filter(pa.array(score_texts(b.column("text"), model, sizes) >= threshold))
+    return docs.mapInArrow(batches, docs.schema)

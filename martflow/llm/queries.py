@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import decontaminate, language_id, near_dedup, quality, sharding, simhash, token_records, toxicity
+from martflow.llm import (decontaminate, language_id, near_dedup, quality, sentencepiece_viterbi, sharding, simhash,
+                          token_records, tool_calls, toxicity)
 from martflow.llm.common import crc32_of_id, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def held_out(folds: int, fold: int):
@@ -60,6 +62,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.from_conversations(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, tool_calls.schema_table(spark))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=3, held=1))
@@ -67,12 +74,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether they decode to it."""
+    return sentencepiece_viterbi.encode_rows(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_records, op2_toxicity, op3_document_fingerprints, op4_simhash_near_dedup, op5_language_id, op6_decontamination, op8_quality,
-    op10_sharding)}
+    op1_token_records, op2_toxicity, op3_document_fingerprints, op4_simhash_near_dedup, op5_language_id, op6_decontamination, op7_tool_call_linking,
+    op8_quality, op9_sentencepiece, op10_sharding)}
 
-ORACLE: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE}
+ORACLE: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE, "op7_tool_call_linking": tool_calls.ORACLE}

@@ -25,6 +25,7 @@ ignored by ``encode_rows`` and kept by ``encode_documents``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,6 +90,13 @@ class Pieces:
         for key in self.keys.values():
             self.maybe[(key >> PREFIX).astype(np.int64)] = True
         self.cache = W.WordCache(cache_words)
+        self.known: dict[str, list[int]] = {}
+        # Safe cuts: no piece has these two neighbours, so none reaches across.
+        after_word = {b for i in plain for a, b in zip(text[i], text[i][1:]) if a.isalnum() and not b.isalnum()}
+        cuts = [f"(?<=[^\\W_])(?=[^\\w{re.escape(SPACE + ''.join(sorted(after_word)))}])"]
+        if not any("\n" in text[i] for i in plain):
+            cuts += ["(?=\n)", "(?<=\n)"]
+        self.cuts = re.compile("|".join(cuts))
 
     def _probe(self, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in ``hashes``, score, id) of every hash that is a key of a piece of ``length``."""
@@ -137,28 +145,36 @@ class Pieces:
         r, j = np.nonzero(used)
         return piece[r, j, back[r, j]], used.sum(axis=1)
 
-    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all parts in one array, and the number of ids of each."""
-        by_length: dict[int, list[int]] = {}
-        for i, part in enumerate(parts):
-            by_length.setdefault(len(part), []).append(i)
-        found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(parts)
+    def _search(self, parts: list[str]) -> None:
+        """Put the ids of distinct parts into ``known``; parts of equal length advance together."""
+        by_length: dict[int, list[str]] = {}
+        for part in parts:
+            by_length.setdefault(len(part), []).append(part)
         for length, members in by_length.items():
-            step = max(1, GROUP_CHARS // max(1, length))
+            step = max(1, GROUP_CHARS // length)
             for low in range(0, len(members), step):
                 group = members[low:low + step]
-                chars = np.frombuffer("".join(parts[i] for i in group).encode("utf-32-le"), np.uint32).reshape(len(group), length)
+                chars = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), length)
                 ids, sizes = self.viterbi(chars)
-                for i, x in zip(group, np.split(ids, np.cumsum(sizes)[:-1])):
-                    found[i] = x if x.min() >= 0 else self._with_bytes(x)
+                ends, ids = np.cumsum(sizes).tolist(), ids.tolist()
+                for part, a, z in zip(group, [0, *ends], ends):
+                    self.known[part] = self._with_bytes(ids[a:z]) if min(ids[a:z]) < 0 else ids[a:z]
+
+    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts in one array, and the number of ids of each."""
+        if len(self.known) > self.cache.limit:
+            self.known.clear()
+        cut = [self.cuts.split(p) for p in parts]
+        self._search(list({x for c in cut for x in c if x and x not in self.known}))
+        found = [[i for x in c if x for i in self.known[x]] for c in cut]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.concatenate(found) if found else np.zeros(0, np.int64), sizes
+        return np.fromiter((i for x in found for i in x), np.int64, int(sizes.sum())), sizes
 
-    def _with_bytes(self, ids: np.ndarray) -> np.ndarray:
+    def _with_bytes(self, ids: list[int]) -> list[int]:
         out: list[int] = []
-        for i in ids.tolist():
+        for i in ids:
             out += [i] if i >= 0 else self.byte_ids[list(chr(-1 - i).encode())].tolist()
-        return np.array(out)
+        return out
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text."""
@@ -184,13 +200,15 @@ class Pieces:
         order = np.argsort(text_of, kind="stable")
         view = memoryview(raw)
 
-        def part(i: int) -> str:
-            i = order[i]
-            if i >= len(w.start):
-                return SPACE * int(after[trailing[i - len(w.start)]])
-            return SPACE * int(before[i]) + str(view[w.start[i]:w.end[i]], "utf-8").replace(" ", SPACE)
+        start, end = (np.concatenate([x, np.zeros(len(trailing), np.int64)]) for x in (w.start, w.end))
+        blanks = np.concatenate([before, after[trailing]])
+
+        def encode_new(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = order[places]
+            return self.encode_parts([SPACE * n + str(view[a:z], "utf-8")
+                                      for n, a, z in zip(blanks[at].tolist(), start[at].tolist(), end[at].tolist())])
 
-        flat, ends = self.cache.encode(hashes[order], lambda new: self.encode_parts([part(i) for i in new.tolist()]))
+        flat, ends = self.cache.encode(hashes[order], encode_new)
         cut = np.concatenate([[0], ends])[np.searchsorted(text_of[order], np.arange(rows + 1))]
         return [flat[a:z] for a, z in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
