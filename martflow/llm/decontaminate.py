@@ -64,7 +64,7 @@ def _candidates(docs: DataFrame, found: DataFrame, size: int, small: bool) -> Da
     anchors = found.select(F.col("anchor").alias("word"), F.lit(True).alias("hit")).distinct()
     d = d.select("row", "doc_id", "text_hash", "n_words", "w", F.posexplode_outer("w").alias("at", "word"))
     d = d.select("row", "doc_id", "text_hash", "n_words", "at", "word", F.slice("w", from_ + 1, F.lit(2 * size - 1)).alias("near"))
-    return d.join(anchors, "word", "left").select("row", "doc_id", "text_hash", "n_words", "at", F.when("hit", F.col("word")).alias("word"), "near")
+    return d.join(anchors, "word", "left").select("row", "doc_id", "text_hash", "n_words", "at", F.when(F.col("hit"), F.col("word")).alias("word"), "near")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:

@@ -7,7 +7,7 @@ centred over languages.  Viterbi over the words, with a penalty for each
 switch of language, labels every word; runs of one label are spans.  A
 document's language is the one with most bytes of words, and its score is
 that language's share of them (words of a script that no learned language
-uses belong to none).
+uses belong to none; words that begin with a digit don't count).
 
 Fitting uses at most ``PER_LANGUAGE`` documents of each language outside the
 held-out fold (a documented bound), taken in the order of an id hash.
@@ -45,7 +45,7 @@ UNKNOWN = "und"
 
 # First code points of script ranges (Unicode blocks), in order.
 SCRIPT_STARTS = (
-    (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
+    (0x0000, "none"), (0x0041, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
     (0x0600, "arabic"), (0x0780, "other"), (0x0900, "devanagari"), (0x0980, "bengali"), (0x0A00, "other"),
     (0x0E00, "thai"), (0x0E80, "other"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "other"),
     (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x3040, "kana"), (0x3100, "han"), (0xA000, "other"),
@@ -102,18 +102,20 @@ def _blocks(w: W.Words) -> Iterator[tuple[int, int]]:
         k = stop
 
 
-def word_scores(raw: np.ndarray, w: W.Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Score of each word for each language, and whether any learned language uses its script."""
+def word_scores(raw: np.ndarray, w: W.Words, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score of each word for each language, whether any learned language uses its script, and whether it has one."""
     scores = np.empty((len(w.start), len(model.languages)), np.float32)
     for k, stop in _blocks(w):
         low, high = int(w.start[k]), int(w.end[stop - 1])
         each = np.concatenate([model.grams[places(raw, low, high)], np.zeros((1, scores.shape[1]), np.float32)])
         edges = np.stack([w.start[k:stop] - low, w.end[k:stop] - low], axis=1).ravel()
         scores[k:stop] = np.add.reduceat(each, edges, axis=0)[::2]
-    uses = model.uses[scripts(raw, w.start)] if len(w.start) else np.zeros((0, scores.shape[1]), bool)
-    known = uses.any(axis=1)
+    script = scripts(raw, w.start) if len(w.start) else np.zeros(0, np.int64)
+    lettered = script != SCRIPTS.index("none")
+    uses = model.uses[script]
+    known = uses.any(axis=1) & lettered
     scores[known[:, None] & ~uses] += OTHER_SCRIPT
-    return scores, known
+    return scores, known, lettered
 
 
 def viterbi(scores: np.ndarray, count: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
@@ -147,12 +149,12 @@ def viterbi(scores: np.ndarray, count: np.ndarray, penalty: float = SWITCH_PENAL
     return label
 
 
-def label_words(texts: pa.Array, model: Model) -> tuple[W.Words, np.ndarray, np.ndarray]:
-    """Words of the prepared texts, their labels, and whether their script is learned."""
+def label_words(texts: pa.Array, model: Model) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the prepared texts, their labels, whether their script is learned, and whether they have one."""
     raw, at = W.buffer_of(texts)
     w = W.words(raw, at, W.ALNUM, lower=False, hashed=False)
-    scores, known = word_scores(raw, w, model)
-    return w, viterbi(scores, W.counts(w, len(texts))), known
+    scores, known, lettered = word_scores(raw, w, model)
+    return w, viterbi(scores, W.counts(w, len(texts))), known, lettered
 
 
 def classify(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarray]:
@@ -164,8 +166,8 @@ def classify(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarra
     letters = pc.match_substring_regex(texts.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
     for low, high in W.slices(texts, 16 << 20):
         n = high - low
-        w, label, known = label_words(prepared(texts.slice(low, n)), model)
-        size = (w.end - w.start).astype(np.float64)
+        w, label, known, lettered = label_words(prepared(texts.slice(low, n)), model)
+        size = (w.end - w.start).astype(np.float64) * lettered
         width = len(model.languages)
         total = np.bincount(w.doc, size, n)
         share = np.bincount(w.doc * width + label, size * known, n * width).reshape(n, width)
@@ -179,7 +181,7 @@ def classify(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarra
 
 def spans(text: str, model: Model) -> list[tuple[int, int, str]]:
     """(first byte, end, language) of each run of equally labelled words of the lower-cased text."""
-    w, label, _ = label_words(prepared(pa.array([text], pa.large_string())), model)
+    w, label, _, _ = label_words(prepared(pa.array([text], pa.large_string())), model)
     if not len(label):
         return []
     edge = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]]))

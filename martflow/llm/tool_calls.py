@@ -14,7 +14,7 @@ ids it depends on), results (conv_id, turn, call_id, content), schemas (name,
 parameter, kind: a type name of ``KINDS``, required).
 
 Status of a call: ``linked``, ``unanswered``, or ``cycle`` if it depends on
-itself; a result without a call is ``orphan``; calls without an identifier are
+itself or on such a call, which leaves it without a rank; a result without a call is ``orphan``; calls without an identifier are
 ``no id``.  Edge cases: repeated rows count once; of several calls or results
 with one id the earliest is used and their number reported; arguments that
 are null, not JSON, not an object or have a key twice are ``malformed``;
@@ -55,17 +55,18 @@ def ranks(calls: DataFrame, edges: DataFrame) -> DataFrame:
     own = calls.select(*KEY, F.struct("turn", F.lit(0).alias("steps")).alias("rank")).join(sizes, "conv_id")
     state = stored(own.withColumn("cyclic", F.lit(False)), "call-ranks")
     while True:
-        dep = state.where(~F.col("cyclic")).select("conv_id", F.col("call_id").alias("dep"), F.col("rank").alias("of"))
+        dep = state.select("conv_id", F.col("call_id").alias("dep"), F.col("rank").alias("of"), F.col("cyclic").alias("stuck"))
         pushed = edges.join(dep, ["conv_id", "dep"]).groupBy(*KEY).agg(
-            F.max(F.struct(F.col("of.turn").alias("turn"), (F.col("of.steps") + 1).alias("steps"))).alias("least"))
+            F.max(F.struct(F.col("of.turn").alias("turn"), (F.col("of.steps") + 1).alias("steps"))).alias("least"),
+            F.max("stuck").alias("stuck"))
         after = state.join(pushed, KEY, "left")
-        later = F.col("least") > F.col("rank")
+        later = ~F.col("cyclic") & F.coalesce(F.col("least") > F.col("rank"), F.lit(False))
         # a call moves at most once behind each other call, unless it waits for itself
-        cyclic = F.col("cyclic") | (F.coalesce(later, F.lit(False)) & (F.col("least.steps") >= F.col("size")))
+        cyclic = F.col("cyclic") | F.coalesce("stuck", F.lit(False)) | (later & (F.col("least.steps") >= F.col("size")))
         after = stored(after.select(*KEY, F.when(later, F.col("least")).otherwise(F.col("rank")).alias("rank"), "size",
-                                    cyclic.alias("cyclic"), F.coalesce(later, F.lit(False)).alias("moved")), "call-ranks")
+                                    cyclic.alias("cyclic"), (later | (cyclic & ~F.col("cyclic"))).alias("moved")), "call-ranks")
         if after.where("moved").isEmpty():
-            return after.select(*KEY, "rank", "cyclic")
+            return after.select(*KEY, F.when(~F.col("cyclic"), F.col("rank")).alias("rank"), "cyclic")
         state = after.drop("moved")
 
 
