@@ -86,6 +86,13 @@ def merge_upsert(existing: DataFrame | None, incoming: DataFrame, keys: Sequence
     return kept.unionByName(incoming)
 
 
+def late_count(incoming: DataFrame, hwm, ts_col: str = "created_at") -> int:
+    """How many rows the parity policy leaves out for being no newer than the mark (0 without one)."""
+    if hwm is None:
+        return 0
+    return incoming.where(F.col(ts_col).isNull() | (F.col(ts_col) <= ts_literal(hwm))).count()
+
+
 def late_rows(existing: DataFrame, incoming: DataFrame, ts_col: str = "created_at", hwm=None) -> DataFrame:
     """Incoming rows the parity policy drops (not newer than the target's mark)."""
     if hwm is None:

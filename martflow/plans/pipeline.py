@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martflow.operators import history, quality
 from martflow.operators.clean import newer_than
-from martflow.operators.merge import merge_upsert, union_evolving
+from martflow.operators.merge import late_count, merge_upsert
 from martflow.plans import gold, silver
 from martflow.plans.warehouse import Warehouse
 from martflow.sources.tables import NULL_PART, TableStore
@@ -36,13 +36,27 @@ class QualityGateError(RuntimeError):
 
 
 def load_staging(w: Warehouse, store: TableStore) -> dict[str, int]:
-    """Append landed rows newer than each staging table's high-water mark."""
+    """Append one landed load.
+
+    Dimension prefixes are re-scanned, so only rows newer than the staging
+    table's high-water mark are appended.  Orders and items come in loads that
+    are each appended whole and once (``w.load_id`` names the load): a late row
+    must not be lost here, whatever the late policy downstream.
+    """
+    load = getattr(w, "load_id", None) or w.sf_dir
     out = {}
     for e in STAGED:
         name = f"stg_{e}"
-        incoming = getattr(w, name)
-        fresh = newer_than(incoming, store.high_water_mark("staging", name))
-        out[name] = store.append("staging", name, fresh, hwm_col="created_at")
+        incoming, meta = getattr(w, name), None
+        if e in ("orders", "orderitems"):
+            versions = store.versions("staging", name)
+            if any(store.commit_info("staging", name, v).get("load") == load for v in versions):
+                out[name] = versions[-1]
+                continue
+            meta = {"load": load}
+        else:
+            incoming = newer_than(incoming, store.high_water_mark("staging", name))
+        out[name] = store.append("staging", name, incoming, hwm_col="created_at", meta=meta)
     return out
 
 
@@ -53,21 +67,24 @@ def build_silver(store: TableStore, late_policy: str = "drop", grain: str = "day
     for name, (entity, model, keys, cluster) in FACTS.items():
         info = store.commit_info("core", name)
         src = f"stg_{entity}"
-        if late_policy == "drop":
-            # original rule: every staged row, ranked, newer than the target's max
-            hwm = info.get("hwm") if info else None
-            staged = store.read("staging", src)
-        else:
-            # only staging folders appended since the version this fact last consumed
-            hwm = None
-            staged = store.read_new("staging", src, info.get("source_version") if info else None)
-        incoming = model(staged, hwm=hwm)
-        out[name] = store.upsert(
-            "core", name, incoming, keys,
-            lambda existing, inc, keys=keys: merge_upsert(existing, inc, keys, late_policy="merge",
-                                                          dedupe=False),
-            grain=grain, cluster_by=cluster,
-            meta={"source_version": store.versions("staging", src)[-1]})
+        # Only staging folders appended since the version this fact last
+        # consumed: whatever was consumed is at or below the mark.
+        staged = store.read_new("staging", src, info.get("source_version") if info else None)
+        # the original rule (drop): only rows newer than the target's maximum
+        hwm = info.get("hwm") if info and late_policy == "drop" else None
+        late = late_count(staged, hwm)
+        # the batch is read several times (touched partitions, merge, sampling)
+        incoming = model(staged, hwm=hwm).persist()
+        try:
+            out[name] = store.upsert(
+                "core", name, incoming, keys,
+                lambda existing, inc, keys=keys: merge_upsert(existing, inc, keys, late_policy="merge",
+                                                              dedupe=False),
+                grain=grain, cluster_by=cluster,
+                meta={"source_version": store.versions("staging", src)[-1], "late_dropped": late})
+        finally:
+            incoming.unpersist()
+        out[f"{name}_late_dropped"] = late
     return out
 
 
@@ -92,8 +109,7 @@ def check_silver(store: TableStore, incremental: bool = True) -> list:
             if any("touched" not in c for c in since):
                 continue  # rewritten outside the partition upsert: check it whole
             touched = set().union(*[c["touched"] for c in since]) if since else set()
-            subset = store.read_partitions("core", name, touched)
-            changed[name] = subset if subset is not None else tables[name].where(F.lit(False))
+            changed[name] = store.read_partitions("core", name, touched)
     failed = quality.gate(quality.summary(tables, changed=changed))
     if not failed:
         marker = {n: store.versions("core", n)[-1] for n in FACTS}
@@ -129,8 +145,7 @@ def dirty_sales_partitions(store: TableStore, sources: dict, grain: str) -> set[
     item_parts = _touched_since(store, "fact_orderitems", sources["fact_orderitems"])
     if item_parts:
         items = store.read_partitions("core", "fact_orderitems", item_parts)
-        if items is not None:
-            probes.append(fo.join(items.select("order_id"), "order_id", "left_semi"))
+        probes.append(fo.join(items.select("order_id"), "order_id", "left_semi"))
     for dim, key in (("dim_customer", "customer_id"), ("dim_store", "store_id")):
         if store.versions("core", dim)[-1] != sources[dim]:
             new, old = store.read("core", dim), store.read("core", dim, sources[dim])
@@ -160,9 +175,7 @@ def build_gold(store: TableStore, grain: str = "day") -> dict[str, int]:
             cluster_by=["order_created_at"], meta={"sources": sources})
     else:
         dirty = dirty_sales_partitions(store, info["sources"], grain)
-        fo_sub = store.read_partitions("core", "fact_orders", dirty) if dirty else None
-        if fo_sub is None:
-            fo_sub = fo.where(F.lit(False))  # empty, same schema
+        fo_sub = store.read_partitions("core", "fact_orders", dirty)
         foi_sub = foi.join(fo_sub.select("order_id"), "order_id", "left_semi")
         out["fct_sales"] = store.replace_partitions(
             "marts", "fct_sales", gold.fct_sales(fo_sub, foi_sub, dc, ds), dirty, "order_created_at",
@@ -214,19 +227,27 @@ def load_staging_from_landing(spark, landing_root: str, store: TableStore, schem
       place is picked up, which a file stream would miss);
     * orders / order items: file streams, each new file loaded exactly once.
 
-    Malformed rows go to ``<table>_quarantine``.
+    Malformed rows go to ``<table>_quarantine``: of the re-scanned prefixes it
+    holds what is malformed now, of the streams each malformed row once.  A
+    prefix without a file yet leaves an empty table.
     """
-    from martflow.sources.landing import read_landing
+    from martflow.sources.landing import has_files, read_landing
     from martflow.streaming.ingest import stream_to_table
     out = {}
     for e in ("customers", "products", "stores"):
         name = f"stg_{e}"
+        out[name] = store.ensure("staging", name, schemas[e])
+        if not has_files(spark, f"{landing_root}/{e}"):
+            continue
         good, bad = read_landing(spark, f"{landing_root}/{e}", schemas[e])
         fresh = newer_than(good, store.high_water_mark("staging", name))
-        store.append("staging", f"{name}_quarantine", bad)
+        store.replace("staging", f"{name}_quarantine", bad)
         out[name] = store.append("staging", name, fresh, hwm_col="created_at")
     for e in ("orders", "orderitems"):
         name = f"stg_{e}"
+        out[name] = store.ensure("staging", name, schemas[e])
+        if not has_files(spark, f"{landing_root}/{e}"):
+            continue
         q = stream_to_table(spark, f"{landing_root}/{e}", schemas[e], store, "staging", name,
                             checkpoint=f"{checkpoint_root}/{name}",
                             max_files_per_trigger=max_files_per_trigger)
@@ -270,4 +291,4 @@ def run_pipeline_from_landing(spark, landing_root: str, store: TableStore, schem
 
 __all__ = ["run_pipeline", "run_pipeline_from_landing", "load_staging", "load_staging_from_landing",
            "build_downstream", "build_silver", "check_silver", "build_gold",
-           "build_history", "read_history", "QualityGateError", "union_evolving"]
+           "build_history", "read_history", "QualityGateError"]

@@ -23,6 +23,13 @@ from martflow.schemas import (
 ORDER_AMOUNTS = ["total_amount", "discount_amount", "shipping_cost"]
 ITEM_AMOUNTS = ["quantity", "unit_price", "line_total", "line_discount"]
 
+# Columns that can tell apart two rows of one key, version time and load stamp.
+# Only these stay live below the ranking window: columns that follow from the
+# key (an order's store and line sums, a product's price) are not among them,
+# so queries that don't return them prune their sources.
+ORDER_TIES = ["customer_id", "order_status", "total_amount", "payment_type"]
+ITEM_TIES = ["quantity", "line_total", "line_discount", "line_number"]
+
 
 def _tiebreak(df: DataFrame, exclude) -> list[str]:
     return [c for c in df.columns if c not in exclude]
@@ -61,8 +68,7 @@ def fact_orders(stg_orders: DataFrame, hwm=None) -> DataFrame:
     if hwm is not None:
         df = newer_than(df, hwm)
     df = clamp(df, ORDER_AMOUNTS)
-    df = latest_per_key(df, ["order_id"],
-                        tiebreak=_tiebreak(df, {"order_id", "created_at", "ingestion_ts"}))
+    df = latest_per_key(df, ["order_id"], tiebreak=ORDER_TIES)
     return df.select(*FACT_ORDERS_COLS)
 
 
@@ -71,7 +77,6 @@ def fact_orderitems(stg_orderitems: DataFrame, hwm=None) -> DataFrame:
     if hwm is not None:
         df = newer_than(df, hwm)
     df = clamp(df, ITEM_AMOUNTS)
-    df = latest_per_key(df, ["order_id", "product_id"],
-                        tiebreak=_tiebreak(df, {"order_id", "product_id", "created_at", "ingestion_ts"}))
+    df = latest_per_key(df, ["order_id", "product_id"], tiebreak=[c for c in ITEM_TIES if c in df.columns])
     df = df.withColumn("order_product_key", composite_key("order_id", "product_id"))
     return df.select(*FACT_ORDERITEMS_COLS)

@@ -23,19 +23,22 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.tables = DriverTables(spark, sf_dir)
 
-    _shared: dict[tuple[int, str], "Warehouse"] = {}
+    _shared: dict[tuple[str, str], "Warehouse"] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
         """The warehouse of a session and data folder, built once.
 
         Only logical plans are shared (analysed DataFrames, no cached data), so
-        later queries skip re-analysing the common staging/silver plans.
+        later queries skip re-analysing the common staging/silver plans.  The
+        entries of ended applications are dropped.
         """
-        key = (id(spark), sf_dir)
-        w = cls._shared.get(key)
+        app = spark.sparkContext.applicationId
+        for old in [k for k in cls._shared if k[0] != app]:
+            del cls._shared[old]
+        w = cls._shared.get((app, sf_dir))
         if w is None or w.spark is not spark:
-            w = cls._shared[key] = cls(spark, sf_dir)
+            w = cls._shared[app, sf_dir] = cls(spark, sf_dir)
         return w
 
     # staging ---------------------------------------------------------------

@@ -50,14 +50,18 @@ def build_session(master: str = "local[*]", app: str = "martflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) is one created under
-    the system temp folder and registered, so later calls agree.
+    Only when a session with a local master has none (tests) is one created
+    under the system temp folder and registered, so later calls agree; on a
+    cluster the executors could not see such a folder, so it must be named.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="martflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root

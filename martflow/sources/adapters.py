@@ -36,7 +36,13 @@ CHANGED_CUSTOMER_MOD = 20    # customer key % 20 == 0: version 'CHANGED' at +30
 CHANGED2_CUSTOMER_MOD = 40   # customer key % 40 == 0: also 'CHANGED2' at +60 days
 CHANGED_LAST_NAMES = ("CHANGED", "CHANGED2")
 CHANGE_STEP_DAYS = 30
+INVALID_NEWEST_MOD = 80      # customer key % 80 == 0: first_name of version 'CHANGED2' NULL
+COPIED_CUSTOMER = (50, 3)    # customer key % 50 == 3: exact copy loaded an hour later
+NULL_KEY_MOD = 500           # order key % 500 == 0: one more order row without order_id
 NEGATIVE_PRICE_MOD = 100     # product key % 100 == 0: price negated
+CHANGED_PRODUCT_MOD = 30     # product key % 30 == 0: second version at +30 days, price + 1
+CHANGED_STORE_MOD = 5        # supplier key % 5 == 0: second version at +30 days, name + ' V2'
+CHANGED_STORE_SUFFIX = " V2"
 ABSENT_STORE = (25, 7)       # supplier key % 25 == 7: store row absent
 ONLINE, BRICK = "Online", "Brick and Mortar"
 
@@ -65,7 +71,8 @@ def staged_orderitems(t: DriverTables, precision=(12, 2)) -> DataFrame:
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                            "l_extendedprice", "l_discount", "l_shipdate")
-    part = t.part.select("p_partkey", "p_retailprice")
+    # one row per key, visibly so: a query that drops the price drops this join
+    part = t.part.groupBy("p_partkey").agg(F.max("p_retailprice").alias("p_retailprice"))
     negated, line_total, line_discount = _line_money(precision)
     qty = F.col("l_quantity").cast(T.IntegerType())
     null_qty = (F.col("l_orderkey") % NULL_QUANTITY_MOD) == 0
@@ -108,13 +115,15 @@ def staged_orders(t: DriverTables, precision=(12, 2)) -> DataFrame:
     key = F.col("o_orderkey")
     total = money("o_totalprice", precision)
     revised = (key % REVISED_ORDER_MOD) == 0
-    versions = F.when(revised, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    shift = F.make_dt_interval(days=F.col("_v"))
+    # version 2 is the row without a key
+    versions = F.concat(F.array(F.lit(0)), F.when(revised, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")),
+                        F.when(key % NULL_KEY_MOD == 0, F.array(F.lit(2))).otherwise(F.array().cast("array<int>")))
+    shift = F.make_dt_interval(days=F.when(F.col("_v") == 1, 1).otherwise(0))
     return (
         o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
         .withColumn("_v", F.explode(versions))
         .select(
-            key.alias("order_id"),
+            F.when(F.col("_v") != 2, key).alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("store_id"),
             F.when(F.col("_v") == 1, F.lit(REVISED_ORDER_STATUS))
@@ -141,7 +150,10 @@ def staged_customers(t: DriverTables) -> DataFrame:
         .when(key % CHANGED_CUSTOMER_MOD == 0, F.array(F.lit(0), F.lit(1)))
         .otherwise(F.array(F.lit(0)))
     )
-    v = F.col("_v")
+    # version 3 is the copy of version 0
+    versions = F.concat(versions, F.when(key % COPIED_CUSTOMER[0] == COPIED_CUSTOMER[1], F.array(F.lit(3)))
+                        .otherwise(F.array().cast("array<int>")))
+    v = F.col("_v") % 3
     created = F.date_add(_ts(BASE_CREATED_AT).cast(T.DateType()), v * CHANGE_STEP_DAYS) \
         .cast(T.TimestampNTZType())
     return (
@@ -149,7 +161,7 @@ def staged_customers(t: DriverTables) -> DataFrame:
         .withColumn("_v", F.explode(versions))
         .select(
             key.alias("customer_id"),
-            F.when(key % NULL_FIRST_NAME[0] == NULL_FIRST_NAME[1], _null_str())
+            F.when((key % NULL_FIRST_NAME[0] == NULL_FIRST_NAME[1]) | ((v == 2) & (key % INVALID_NEWEST_MOD == 0)), _null_str())
              .otherwise(F.col("c_name")).alias("first_name"),
             F.when(v == 1, F.lit(CHANGED_LAST_NAMES[0]))
              .when(v == 2, F.lit(CHANGED_LAST_NAMES[1]))
@@ -163,23 +175,29 @@ def staged_customers(t: DriverTables) -> DataFrame:
             F.col("n_name").alias("country"),
             _null_str().alias("postal_code"),
             created.alias("created_at"),
-            created.alias("ingestion_ts"),
+            (created + F.make_dt_interval(hours=F.when(F.col("_v") == 3, 1).otherwise(0))).alias("ingestion_ts"),
         )
     )
 
 
+def price_type(precision) -> T.DecimalType:
+    return T.DecimalType(*precision)
+
+
 def staged_products(t: DriverTables, precision=(12, 2)) -> DataFrame:
     p = t.part.select("p_partkey", "p_name", "p_type", "p_brand", "p_retailprice")
     key = F.col("p_partkey")
     price = money("p_retailprice", precision)
-    return p.select(
+    changed = F.when(key % CHANGED_PRODUCT_MOD == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    created = (_ts(BASE_CREATED_AT) + F.make_dt_interval(days=F.col("_v") * CHANGE_STEP_DAYS))
+    return p.withColumn("_v", F.explode(changed)).select(
         key.alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
-        F.when(key % NEGATIVE_PRICE_MOD == 0, -price).otherwise(price).alias("price"),
-        _ts(BASE_CREATED_AT).alias("created_at"),
-        _ts(BASE_CREATED_AT).alias("ingestion_ts"),
+        (F.when(key % NEGATIVE_PRICE_MOD == 0, -price).otherwise(price) + F.col("_v")).cast(price_type(precision)).alias("price"),
+        created.alias("created_at"),
+        created.alias("ingestion_ts"),
     )
 
 
@@ -190,16 +208,20 @@ def staged_stores(t: DriverTables) -> DataFrame:
     return (
         s.where(key % ABSENT_STORE[0] != ABSENT_STORE[1])
         .join(n, s.s_nationkey == n.n_nationkey, "left")
+        .withColumn("_v", F.explode(F.when(key % CHANGED_STORE_MOD == 0, F.array(F.lit(0), F.lit(1)))
+                                    .otherwise(F.array(F.lit(0)))))
+        .withColumn("_at", _ts(BASE_CREATED_AT) + F.make_dt_interval(days=F.col("_v") * CHANGE_STEP_DAYS))
         .select(
             key.alias("store_id"),
-            F.col("s_name").alias("store_name"),
+            F.when(F.col("_v") == 1, F.concat("s_name", F.lit(CHANGED_STORE_SUFFIX))).otherwise(F.col("s_name"))
+             .alias("store_name"),
             F.when(key % 2 == 0, F.lit(ONLINE)).otherwise(F.lit(BRICK)).alias("store_type"),
             _null_str().alias("city"),
             _null_str().alias("state_province"),
             F.col("n_name").alias("country"),
             _null_str().alias("postal_code"),
-            _ts(BASE_CREATED_AT).alias("created_at"),
-            _ts(BASE_CREATED_AT).alias("ingestion_ts"),
+            F.col("_at").alias("created_at"),
+            F.col("_at").alias("ingestion_ts"),
         )
     )
 

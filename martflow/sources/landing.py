@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+INTEGER_DIGITS = 6  # fixed value of the landing contract
 LOAD_COL = "ingestion_ts"
 SOURCE_FILE = "_source_file"
 
@@ -32,18 +33,20 @@ CSV_OPTIONS = {
     "enforceSchema": "true",
     # a prefix may hold one folder per upload
     "recursiveFileLookup": "true",
+    # Check every row's field count: with column pruning in the parser a
+    # consumer that needs few columns (a count, the quarantine branch) would
+    # let short and long rows through as good rows.
+    "columnPruning": "false",
 }
 
 
-def whole_row_parsing(spark: SparkSession) -> None:
-    """Make the CSV parser check every row's field count.
+def csv_options(multiline: bool = False) -> dict[str, str]:
+    """Reader options; ``multiline`` allows line breaks inside quoted fields.
 
-    With parser column pruning (Spark's default) only the referenced columns
-    are parsed, so a consumer that needs few columns (a ``count()``, the
-    quarantine branch) would let short and long rows through as good rows.
-    CSV is only used for landing files, so this is scoped to them in practice.
+    A multi-line file cannot be split, so it is read by one task: use it for
+    prefixes whose files are bounded in size.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    return CSV_OPTIONS | {"multiLine": str(multiline).lower()}
 
 
 def with_source_file(raw: DataFrame) -> DataFrame:
@@ -59,6 +62,8 @@ def raw_schema(schema: T.StructType) -> T.StructType:
 def _typed(c: str, dtype: T.DataType):
     if isinstance(dtype, T.StringType):
         return F.col(c)
+    if isinstance(dtype, T.IntegerType):  # a whole number of at most six digits; "3.0" is one
+        return F.expr(f"CAST(try_cast(`{c}` AS DECIMAL({INTEGER_DIGITS},0)) AS INT)")
     return F.expr(f"try_cast(`{c}` AS {dtype.simpleString()})")
 
 
@@ -99,11 +104,16 @@ def split_good_bad(typed: DataFrame, schema: T.StructType) -> tuple[DataFrame, D
     return good, bad
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether anything was landed under a prefix yet."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType,
-                 load_stamp=None) -> tuple[DataFrame, DataFrame]:
+                 load_stamp=None, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
     """Batch scan of a landing prefix: (good typed rows with load stamp, quarantine)."""
-    whole_row_parsing(spark)
-    raw = with_source_file(spark.read.schema(raw_schema(schema)).options(**CSV_OPTIONS).csv(path))
+    raw = with_source_file(spark.read.schema(raw_schema(schema)).options(**csv_options(multiline)).csv(path))
     return split_good_bad(type_rows(raw, schema, load_stamp), schema)
 
 

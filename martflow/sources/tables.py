@@ -5,17 +5,19 @@ Layout::
     <root>/<schema>/<table>/data-<n>-<id>/part-*.parquet  data written by version n
     <root>/<schema>/<table>/_commits/<n>.json         commit record of version n
 
-A version becomes visible only when its commit record exists.  Commit records
-are created with *create-if-absent* through the Hadoop FileSystem API, so two
-writers can never both commit version n, and readers never see half-written
-data (an uncommitted ``data-<n>`` folder is ignored).  A full rebuild or an upsert
-writes a new version next to the one it reads, which avoids the
-"overwrite the path you are reading" failure of plain parquet sinks.  An
-append commits a version that lists the previous data folders plus a new one,
-so appends never rewrite old data.
-
-The commit record also carries the high-water mark of the version column and
-the last stream batch id applied, which makes a replayed micro-batch a no-op.
+A version becomes visible only when its commit record exists.  A record is
+written under a temporary name and renamed without overwrite, so it is whole
+or absent, and every writer commits exactly the version after the one it read:
+of two writers on one version the second fails, and no update is lost.  An
+uncommitted ``data-<n>`` folder is ignored.  A full rebuild or an upsert writes
+a new version next to the one it reads, which avoids the "overwrite the path
+you are reading" failure of plain parquet sinks.  An append names its new
+folder only; readers collect the folders back to the last whole record, which
+every ``WHOLE_EVERY``-th append writes.
+
+The commit record also carries the schema (reads open no footers to find it),
+the time partitioning, the high-water mark of the version column and the last
+stream batch id applied, which makes a replayed micro-batch a no-op.
 
 Fact tables are upserted by day partition (``upsert``): a batch rewrites only
 the partitions it touches and the new commit references every other partition
@@ -31,9 +33,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martflow.schemas import Layers
 
+WHOLE_EVERY = 20
 PART = "_part"
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
@@ -68,10 +72,16 @@ class TableStore:
         out = []
         for st in fs.listStatus(p):
             n = st.getPath().getName()
-            if n.endswith(".json") and n[:-5].isdigit():
+            # an empty record is the remains of a torn write, not a version
+            if n.endswith(".json") and n[:-5].isdigit() and st.getLen() > 0:
                 out.append(int(n[:-5]))
         return sorted(out)
 
+    def snapshot(self, layer: str, name: str) -> tuple[int, dict | None]:
+        """The newest version and its record; a writer commits the version after it."""
+        vs = self.versions(layer, name)
+        return (vs[-1], self.commit_info(layer, name, vs[-1])) if vs else (-1, None)
+
     def commit_info(self, layer: str, name: str, version: int | None = None) -> dict | None:
         vs = self.versions(layer, name)
         if not vs:
@@ -86,13 +96,19 @@ class TableStore:
         return json.loads(text)
 
     def _commit(self, layer: str, name: str, record: dict) -> None:
-        path = f"{self._commit_dir(layer, name)}/{record['version']:020d}.json"
-        fs = self._fs(path)
-        out = fs.create(self._Path(path), False)  # fails if another writer committed first
+        folder = self._commit_dir(layer, name)
+        final = self._Path(f"{folder}/{record['version']:020d}.json")
+        written = self._Path(f"{folder}/.{record['version']:020d}-{uuid.uuid4().hex[:8]}.tmp")
+        fs = self._fs(folder)
+        out = fs.create(written, False)
         try:
             out.write(bytearray(json.dumps(record, default=str).encode("utf-8")))
         finally:
             out.close()
+        files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+        no_overwrite = self.spark.sparkContext._gateway.new_array(
+            getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        files.rename(fs.makeQualified(written), fs.makeQualified(final), no_overwrite)  # fails if the version exists
 
     def _new_data_dir(self, layer: str, name: str, v: int) -> str:
         """A folder no earlier attempt used: a write retried after a lost
@@ -106,7 +122,6 @@ class TableStore:
         vs = self.versions(layer, name)
         if vs:
             return vs[-1]
-        from pyspark.sql import types as T
         fields = list(schema.fields)
         if load_col and load_col not in schema.fieldNames():
             fields.append(T.StructField(load_col, T.TimestampNTZType()))
@@ -117,25 +132,41 @@ class TableStore:
     def exists(self, layer: str, name: str) -> bool:
         return bool(self.versions(layer, name))
 
+    def folders(self, layer: str, name: str, info: dict) -> list[str]:
+        """Data folders of a version: its own, and an append's back to the last whole record."""
+        added: list[str] = []
+        while "data" not in info:
+            added = info["add"] + added
+            info = self.commit_info(layer, name, info["version"] - 1)
+        return info["data"] + added
+
+    def _rows(self, folders: Sequence[str], info: dict) -> DataFrame:
+        """Rows of ``folders`` under the version's schema; columns that older files lack are NULL."""
+        schema = T.StructType.fromJson(info["schema"])
+        return (self.spark.read.schema(schema).parquet(*folders) if folders
+                else self.spark.createDataFrame([], schema))
+
     def read(self, layer: str, name: str, version: int | None = None) -> DataFrame | None:
+        """The table's rows (none for an empty version); None if it does not exist."""
         info = self.commit_info(layer, name, version)
-        if info is None:
-            return None
-        dirs = info["data"]
-        if not dirs:
-            return None
-        return self.spark.read.option("mergeSchema", "true").parquet(*dirs)
+        return None if info is None else self._rows(self.folders(layer, name, info), info)
 
     def read_new(self, layer: str, name: str, since_version: int | None) -> DataFrame | None:
         """Rows of an append-only table added after ``since_version`` (all if None)."""
         info = self.commit_info(layer, name)
         if info is None:
             return None
-        seen = set(self.commit_info(layer, name, since_version)["data"]) if since_version is not None else set()
-        dirs = [d for d in info["data"] if d not in seen]
-        if not dirs:
-            return self.read(layer, name).where(F.lit(False))
-        return self.spark.read.option("mergeSchema", "true").parquet(*dirs)
+        seen = (set(self.folders(layer, name, self.commit_info(layer, name, since_version)))
+                if since_version is not None else set())
+        return self._rows([d for d in self.folders(layer, name, info) if d not in seen], info)
+
+    @staticmethod
+    def _schema(df: DataFrame, old: dict | None) -> dict:
+        """Schema of a version: the stored columns, then new ones; readers see every column as nullable."""
+        known = list(T.StructType.fromJson(old["schema"]).fields) if old else []
+        names = {f.name for f in known}
+        fields = known + [f for f in df.schema.fields if f.name not in names]
+        return T.StructType([T.StructField(f.name, f.dataType) for f in fields]).jsonValue()
 
     @staticmethod
     def _observed(df: DataFrame, hwm_col: str | None):
@@ -164,35 +195,36 @@ class TableStore:
     def replace(self, layer: str, name: str, df: DataFrame, cluster_by: Sequence[str] | None = None,
                 hwm_col: str | None = None, meta: dict | None = None) -> int:
         """Full rebuild: the new version holds exactly ``df``."""
-        prev = self.versions(layer, name)
-        v = (prev[-1] + 1) if prev else 0
-        path = self._new_data_dir(layer, name, v)
+        base, _ = self.snapshot(layer, name)
+        path = self._new_data_dir(layer, name, base + 1)
         df, obs = self._observed(df, hwm_col)
         self._write_version(df, path, cluster_by)
-        record = {"version": v, "data": [path], "mode": "replace"}
+        record = {"version": base + 1, "data": [path], "mode": "replace", "schema": self._schema(df, None)}
         if hwm_col:
             record["hwm"] = self._mark_text(obs)
         record.update(meta or {})
         self._commit(layer, name, record)
-        return v
+        return base + 1
 
     def append(self, layer: str, name: str, df: DataFrame, hwm_col: str | None = None,
                meta: dict | None = None) -> int:
         """Append: the new version = previous data folders + one new folder."""
-        prev = self.versions(layer, name)
-        v = (prev[-1] + 1) if prev else 0
-        old = self.commit_info(layer, name) if prev else None
-        path = self._new_data_dir(layer, name, v)
+        base, old = self.snapshot(layer, name)
+        path = self._new_data_dir(layer, name, base + 1)
         df, obs = self._observed(df, hwm_col)
         self._write_version(df, path, None)
-        record = {"version": v, "data": (old["data"] if old else []) + [path], "mode": "append"}
+        record = {"version": base + 1, "mode": "append", "schema": self._schema(df, old)}
+        if old and (base + 1) % WHOLE_EVERY:
+            record["add"] = [path]
+        else:
+            record["data"] = (self.folders(layer, name, old) if old else []) + [path]
         if hwm_col:
             new_mark = self._mark_text(obs)
             marks = [m for m in ((old or {}).get("hwm"), new_mark) if m is not None]
             record["hwm"] = max(marks) if marks else None
         record.update(meta or {})
         self._commit(layer, name, record)
-        return v
+        return base + 1
 
     # partitioned upsert ---------------------------------------------------------
     @staticmethod
@@ -238,56 +270,68 @@ class TableStore:
         over by reference in the new commit.
         """
         keys = list(keys)
-        info = self.commit_info(layer, name)
+        base, info = self.snapshot(layer, name)
         part = self.time_partition(part_col, grain)
+        layout = {"column": part_col, "grain": grain}
         if info is None or "partitions" not in info:
-            existing = self.read(layer, name) if info else None
-            return self._commit_partitions(layer, name, merge_fn(existing, incoming), None, part,
+            existing = self.read(layer, name, base) if info else None
+            return self._commit_partitions(layer, name, base, info, merge_fn(existing, incoming), None, part, layout,
                                            cluster_by, hwm_col, incoming, meta)
-        stored = self.read(layer, name)
+        self._check_layout(info, layout)
+        stored = self.read(layer, name, base)
         touched = (stored.select(*keys, part_col).join(incoming.select(*keys), keys, "left_semi")
                    .select(part.alias(PART))
                    .unionByName(incoming.select(part.alias(PART))).distinct())
         # one value per time partition: bounded by the number of partitions
         affected = {NULL_PART if r[0] is None else r[0] for r in touched.collect()}
-        subset = self.read_partitions(layer, name, affected)
-        return self._commit_partitions(layer, name, merge_fn(subset, incoming), affected, part,
+        subset = self.read_partitions(layer, name, affected, base)
+        return self._commit_partitions(layer, name, base, info, merge_fn(subset, incoming), affected, part, layout,
                                        cluster_by, hwm_col, incoming, meta)
 
+    @staticmethod
+    def _check_layout(info: dict, layout: dict) -> None:
+        """A table keeps the time partitioning it was written with; another one would duplicate keys."""
+        if info["layout"] != layout:
+            raise ValueError(f"table is partitioned by {info['layout']}, not {layout}")
+
     def read_partitions(self, layer: str, name: str, partitions, version: int | None = None) -> DataFrame | None:
         """Rows of the given time partitions only (their folders are read, nothing else)."""
         info = self.commit_info(layer, name, version)
-        old = (info or {}).get("partitions", {})
-        dirs = [d for p in sorted(partitions) for d in old.get(p, [])]
-        return self.spark.read.option("mergeSchema", "true").parquet(*dirs) if dirs else None
+        if info is None:
+            return None
+        old = info.get("partitions", {})
+        return self._rows([d for p in sorted(partitions) for d in old.get(p, [])], info)
 
     def replace_partitions(self, layer: str, name: str, df: DataFrame, partitions, part_col: str,
                            grain: str = "day", cluster_by: Sequence[str] | None = None,
                            meta: dict | None = None) -> int:
         """New content for exactly ``partitions`` (all partitions when None); the
         other partitions of the previous version are kept by reference."""
-        info = self.commit_info(layer, name)
+        base, info = self.snapshot(layer, name)
+        layout = {"column": part_col, "grain": grain}
         if info is None or "partitions" not in info:
             partitions = None
-        return self._commit_partitions(layer, name, df, None if partitions is None else set(partitions),
-                                       self.time_partition(part_col, grain), cluster_by, None, None, meta)
-
-    def _commit_partitions(self, layer, name, df, affected, part, cluster_by, hwm_col, marks_from,
-                           meta) -> int:
-        prev = self.versions(layer, name)
-        v = (prev[-1] + 1) if prev else 0
-        info = self.commit_info(layer, name) if prev else None
-        base = self._new_data_dir(layer, name, v)
+        elif partitions is not None:
+            self._check_layout(info, layout)
+        return self._commit_partitions(layer, name, base, info, df, None if partitions is None else set(partitions),
+                                       self.time_partition(part_col, grain), layout, cluster_by, None, None, meta)
+
+    def _commit_partitions(self, layer, name, base, info, df, affected, part, layout, cluster_by, hwm_col,
+                           marks_from, meta) -> int:
+        """``meta`` may be a function of no arguments, called when the rows are written."""
+        v = base + 1
+        path = self._new_data_dir(layer, name, v)
         df, obs = self._observed(df, hwm_col if marks_from is not None else None)
-        written = self._write_partitioned(df, base, part, cluster_by) if affected != set() else {}
+        written = self._write_partitioned(df, path, part, cluster_by) if affected != set() else {}
         if affected is None:
             pmap = written
         else:
             pmap = {p: d for p, d in info["partitions"].items() if p not in affected}
             pmap.update(written)
-        record = {"version": v, "mode": "partitions", "partitions": pmap,
+        record = {"version": v, "mode": "partitions", "partitions": pmap, "layout": layout,
                   "touched": sorted(written if affected is None else affected),
-                  "data": [d for p in sorted(pmap) for d in pmap[p]]}
+                  "data": [d for p in sorted(pmap) for d in pmap[p]],
+                  "schema": self._schema(df, None if affected is None else info)}
         if hwm_col and marks_from is not None:
             # max over the written rows = max over the batch: rows of the batch
             # that lost to a stored version are not newer than the old mark
@@ -296,7 +340,7 @@ class TableStore:
             record["hwm"] = max(marks) if marks else None
         elif info and "hwm" in info:
             record["hwm"] = info["hwm"]
-        record.update(meta or {})
+        record.update(meta() if callable(meta) else meta or {})
         self._commit(layer, name, record)
         return v
 

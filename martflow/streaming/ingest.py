@@ -27,18 +27,16 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martflow.operators.clean import newer_than
-from martflow.operators.merge import merge_upsert
-from martflow.sources.landing import (CSV_OPTIONS, raw_schema, split_good_bad, type_rows,
-                                      whole_row_parsing, with_source_file)
+from martflow.operators.merge import late_count, merge_upsert
+from martflow.sources.landing import csv_options, raw_schema, split_good_bad, type_rows, with_source_file
 from martflow.sources.tables import TableStore
 
 BATCH_COL = "load_batch"
 
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    whole_row_parsing(spark)
-    reader = spark.readStream.schema(raw_schema(schema)).options(**CSV_OPTIONS)
+                   max_files_per_trigger: int | None = None, multiline: bool = False) -> DataFrame:
+    reader = spark.readStream.schema(raw_schema(schema)).options(**csv_options(multiline))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return with_source_file(reader.csv(path))
@@ -98,30 +96,48 @@ def upsert_batch_fn(schema: T.StructType, store: TableStore, layer: str, table:
 
     If the table commit of batch n exists, a re-delivery of batch n (the
     stream's own commit was lost with the driver) changes nothing; if the
-    upsert failed before its commit, the re-run applies it once.
+    upsert failed before its commit, the re-run applies it once.  Malformed
+    rows go to ``<table>_quarantine``, committed first and once per batch.
+    The commit says how many rows the drop policy left out.
     """
+    qtable = f"{table}_quarantine"
+
     def upsert(batch: DataFrame, batch_id: int) -> None:
         info = store.commit_info(layer, table)
-        if info is not None and info.get("stream_batch", -1) >= batch_id:
+        if applied(info, batch_id):
             return  # replay of an applied batch
         stamp = F.current_timestamp().cast(T.TimestampNTZType())
-        good, _ = split_good_bad(type_rows(batch, schema, stamp), schema)
-        incoming = model(good)
-        if late_policy == "drop":
-            incoming = newer_than(incoming, info.get("hwm") if info else None)
-        # the batch is read three times (touched partitions, merge, mark)
-        incoming = incoming.persist()
+        typed = type_rows(batch, schema, stamp).persist()
+        # the batch is read several times (touched partitions, merge, mark)
+        incoming = None
         try:
+            good, bad = split_good_bad(typed, schema)
+            if not applied(store.commit_info(layer, qtable), batch_id):
+                store.append(layer, qtable, bad, meta={"stream_batch": batch_id})
+            incoming = model(good)
+            late = 0
+            if late_policy == "drop":
+                mark = info.get("hwm") if info else None
+                late = late_count(good, mark)
+                incoming = newer_than(incoming, mark)
+            incoming = incoming.persist()
             store.upsert(layer, table, incoming, keys,
                          lambda existing, inc: merge_upsert(existing, inc, keys, late_policy="merge",
                                                             dedupe=False),
-                         grain=grain, cluster_by=cluster_by, meta={"stream_batch": batch_id})
+                         grain=grain, cluster_by=cluster_by, meta={"stream_batch": batch_id, "late_dropped": late})
         finally:
-            incoming.unpersist()
+            typed.unpersist()
+            if incoming is not None:
+                incoming.unpersist()
 
     return upsert
 
 
+def applied(info: dict | None, batch_id: int) -> bool:
+    """Whether a table's record already includes a micro-batch."""
+    return info is not None and info.get("stream_batch", -1) >= batch_id
+
+
 def stream_to_table(spark: SparkSession, path: str, schema: T.StructType, store: TableStore,
                     layer: str, table: str, checkpoint: str, trigger: str = "availableNow",
                     max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -135,18 +151,14 @@ def stream_to_table(spark: SparkSession, path: str, schema: T.StructType, store:
     raw = landing_stream(spark, path, schema, max_files_per_trigger)
     qtable = f"{table}_quarantine"
 
-    def applied(name: str, batch_id: int) -> bool:
-        info = store.commit_info(layer, name)
-        return info is not None and info.get("stream_batch", -1) >= batch_id
-
     def load(batch: DataFrame, batch_id: int) -> None:
-        if applied(table, batch_id):
+        if applied(store.commit_info(layer, table), batch_id):
             return
         stamp = F.current_timestamp().cast(T.TimestampNTZType())
         typed = type_rows(batch, schema, stamp).persist()
         try:
             good, bad = split_good_bad(typed, schema)
-            if not applied(qtable, batch_id):
+            if not applied(store.commit_info(layer, qtable), batch_id):
                 store.append(layer, qtable, bad, meta={"stream_batch": batch_id})
             store.append(layer, table, good, hwm_col="created_at", meta={"stream_batch": batch_id})
         finally:

@@ -7,11 +7,9 @@ import pytest
 
 import __spark_entry__ as se
 from conftest import SF_SMOKE
+from martflow.plans.registry import ORACLE, QUERIES
 from tools.check_oracle import TABLES, canon
 
-QUERIES = se.queries()
-ORACLE = se.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():

@@ -3,11 +3,11 @@ map-side partial aggregation and top-k without a global sort."""
 
 import pytest
 
-import __spark_entry__ as se
 from conftest import SF_SMOKE
+from martflow.plans.registry import QUERIES
 
 # Queries that only read parquet and plan lazily (the others write files when called).
-PURE = [n for n in se.queries() if not n.startswith(("landing_", "stream_", "pipeline_",
+PURE = [n for n in QUERIES if not n.startswith(("landing_", "stream_", "pipeline_",
                                                      "scd2_customers_incremental", "scd2_hard_delete"))]
 
 
@@ -17,14 +17,14 @@ def plan_of(df) -> str:
 
 @pytest.mark.parametrize("name", PURE)
 def test_no_python_in_plan(spark, name):
-    p = plan_of(se.queries()[name](spark, SF_SMOKE))
+    p = plan_of(QUERIES[name](spark, SF_SMOKE))
     for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                  "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in p, f"{name}: {node}"
 
 
 def test_scans_are_pruned_and_filtered(spark):
-    df = se.queries()["sales_by_day"](spark, SF_SMOKE)
+    df = QUERIES["sales_by_day"](spark, SF_SMOKE)
     text = df._jdf.queryExecution().executedPlan().toString()
     # lineitem is read for the order roll-up with exactly the five needed columns
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double,l_discount:double,l_tax:double>" in text
@@ -43,12 +43,12 @@ def test_hwm_filter_reaches_scan_and_runs_before_rank(spark, wh, scratch):
 
 
 def test_aggregates_are_partial_before_shuffle(spark):
-    text = plan_of(se.queries()["sales_by_product"](spark, SF_SMOKE))
+    text = plan_of(QUERIES["sales_by_product"](spark, SF_SMOKE))
     assert "partial_count" in text and "partial_sum" in text
 
 
 def test_top_k_has_no_global_sort(spark):
-    df = se.queries()["report_top_products"](spark, SF_SMOKE)
+    df = QUERIES["report_top_products"](spark, SF_SMOKE)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Limit" in text
     phys = plan_of(df)
@@ -58,7 +58,7 @@ def test_top_k_has_no_global_sort(spark):
 def test_dimension_joins_become_broadcast_only_after_measuring(spark):
     """No broadcast hint in the logical plan; AQE picks broadcast at runtime for
     the measured-small dimensions of fct_sales."""
-    df = se.queries()["fct_sales"](spark, SF_SMOKE)
+    df = QUERIES["fct_sales"](spark, SF_SMOKE)
     assert "broadcast" not in df._jdf.queryExecution().logical().toString().lower()
     df.collect()  # runs this Dataset's own query execution, so its plan is final
     final = df._jdf.queryExecution().executedPlan().toString()

@@ -149,7 +149,7 @@ def test_stream_upsert_survives_failure_and_replay(spark, wh, scratch):
     """A batch that fails mid-way is applied exactly once after restart; a batch
     delivered again after its commit is a no-op."""
     from martflow.plans import silver
-    from martflow.sources.landing import CSV_OPTIONS, raw_schema, with_source_file
+    from martflow.sources.landing import csv_options, raw_schema, with_source_file
     from martflow.streaming.ingest import stream_upsert, upsert_batch_fn
     schema = ENTITY_SCHEMAS["orders"]
     src = scratch("landing-orders")
@@ -177,7 +177,7 @@ def test_stream_upsert_survives_failure_and_replay(spark, wh, scratch):
     # re-deliver the last batch by hand: already committed, nothing changes
     last = store.commit_info("core", "fo")
     fn = upsert_batch_fn(schema, store, "core", "fo", ["order_id"], silver.fact_orders, grain="year")
-    raw = with_source_file(spark.read.schema(raw_schema(schema)).options(**CSV_OPTIONS).csv(src + "/*"))
+    raw = with_source_file(spark.read.schema(raw_schema(schema)).options(**csv_options()).csv(src + "/*"))
     fn(raw, last["stream_batch"])
     assert store.commit_info("core", "fo")["version"] == last["version"]
     assert _rows(store.read("core", "fo")) == expected
