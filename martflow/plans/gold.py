@@ -19,7 +19,7 @@ Plan choices (all declarative, Catalyst/AQE do the physical work):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.columns import agg_money, day_start
@@ -41,21 +41,28 @@ def order_item_rollup(fact_orderitems: DataFrame) -> DataFrame:
     )
 
 
+def _null_salt(key: str) -> Column:
+    """0 for a key, a hash of the order for NULL: rows without a key match
+    nothing, and a second join column deals them to all tasks instead of one."""
+    return F.when(F.col(key).isNull(), F.xxhash64("order_id")).otherwise(F.lit(0).cast("long"))
+
+
 def fct_sales(fact_orders: DataFrame, fact_orderitems: DataFrame,
               dim_customer: DataFrame, dim_store: DataFrame) -> DataFrame:
     items = order_item_rollup(fact_orderitems)
     cust = dim_customer.select(
-        F.col("customer_id").alias("_c_id"), "first_name", "last_name",
+        F.col("customer_id").alias("_c_id"), F.lit(0).cast("long").alias("_c_salt"), "first_name", "last_name",
         F.col("country").alias("customer_country"))
     store = dim_store.select(
-        F.col("store_id").alias("_s_id"), "store_name", F.col("country").alias("store_country"))
+        F.col("store_id").alias("_s_id"), F.lit(0).cast("long").alias("_s_salt"), "store_name",
+        F.col("country").alias("store_country"))
     fo = fact_orders.select(
         "order_id", "order_status", "total_amount", "discount_amount", "shipping_cost",
         "payment_type", F.col("created_at").alias("order_created_at"), "customer_id", "store_id")
     out = (
         fo.join(items, "order_id", "left")
-        .join(cust, F.col("customer_id") == F.col("_c_id"), "left")
-        .join(store, F.col("store_id") == F.col("_s_id"), "left")
+        .join(cust, (F.col("customer_id") == F.col("_c_id")) & (_null_salt("customer_id") == F.col("_c_salt")), "left")
+        .join(store, (F.col("store_id") == F.col("_s_id")) & (_null_salt("store_id") == F.col("_s_salt")), "left")
     )
     return out.select(*FCT_SALES_COLS)
 

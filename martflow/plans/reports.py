@@ -9,7 +9,7 @@ engine returns the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.functions.columns import agg_money
@@ -71,11 +71,10 @@ def report_order_status(fact_orders: DataFrame) -> DataFrame:
 def report_status_share(fact_orders: DataFrame) -> DataFrame:
     """Count and share of total per status.
 
-    The share uses an un-partitioned window, which is fine here: its input is
-    the already aggregated status table (one row per status).
+    The total is a one-row aggregate of the counts (a scalar subquery), so no
+    task holds all rows whatever the number of statuses.
     """
     counts = report_order_status(fact_orders)
-    total = F.sum("count_status").over(Window.partitionBy())
-    return counts.select(
-        "order_status", "count_status",
-        (F.col("count_status").cast("double") / total.cast("double")).alias("share"))
+    return counts.sparkSession.sql(
+        "SELECT order_status, count_status, CAST(count_status AS DOUBLE) / "
+        "CAST((SELECT SUM(count_status) FROM {counts}) AS DOUBLE) AS share FROM {counts}", counts=counts)

@@ -31,6 +31,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -181,7 +182,10 @@ class TableStore:
     def _mark_text(obs) -> str | None:
         if obs is None:
             return None
-        m = obs.get.get("hwm")
+        try:
+            m = obs.get.get("hwm")
+        except Py4JJavaError:  # a plan known to be empty runs no observation
+            return None
         return None if m is None else m.isoformat(sep=" ")
 
     def _write_version(self, df: DataFrame, path: str, cluster_by: Sequence[str] | None) -> None:

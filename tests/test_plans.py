@@ -24,11 +24,26 @@ def test_no_python_in_plan(spark, name):
 
 
 def test_scans_are_pruned_and_filtered(spark):
-    df = QUERIES["sales_by_day"](spark, SF_SMOKE)
-    text = df._jdf.queryExecution().executedPlan().toString()
-    # lineitem is read for the order roll-up with exactly the five needed columns
-    assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_extendedprice:double,l_discount:double,l_tax:double>" in text
-    assert "PushedFilters: [IsNotNull(o_orderkey)]" in text
+    text = plan_of(QUERIES["sales_by_day"](spark, SF_SMOKE))
+    # lineitem is read for the amounts of the order roll-up only
+    assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double,l_tax:double>" in text
+    assert "PushedFilters: [IsNotNull(l_orderkey)]" in text
+
+
+@pytest.mark.parametrize("name", ["report_order_status", "report_status_share", "customer_profile", "report_top_customers"])
+def test_order_counts_read_no_lines(spark, name):
+    assert "lineitem" not in plan_of(QUERIES[name](spark, SF_SMOKE))
+
+
+@pytest.mark.parametrize("name", ["fct_sales", "report_order_status"])
+def test_unused_prices_join_no_parts(spark, name):
+    assert "part.parquet" not in plan_of(QUERIES[name](spark, SF_SMOKE))
+
+
+def test_quality_summary_scans_each_source_once(spark):
+    text = plan_of(QUERIES["dq_summary"](spark, SF_SMOKE))
+    for table in ("customer", "supplier"):
+        assert text.count(f"/{table}.parquet") == 1, table
 
 
 def test_hwm_filter_reaches_scan_and_runs_before_rank(spark, wh, scratch):

@@ -63,7 +63,7 @@ def test_table_store_versions_and_commit_conflict(spark, wh, scratch):
     assert (v0, v1) == (0, 1)
     assert store.read("core", "dim_store").count() == wh.dim_store.where("store_id < 50").count()
     assert store.read("core", "dim_store", version=0).count() == wh.dim_store.count()
-    assert store.commit_info("core", "dim_store", 0)["hwm"] == "1995-01-01 00:00:00"
+    assert store.commit_info("core", "dim_store", 0)["hwm"] == "1995-01-31 00:00:00"
     with pytest.raises(Exception):
         store._commit("core", "dim_store", {"version": 1, "data": []})  # version taken
     a0 = store.append("staging", "stg_stores", wh.stg_stores, hwm_col="created_at")
@@ -201,9 +201,9 @@ def test_landing_pipeline_second_run_loads_only_new_file(spark, wh, scratch):
     assert store.read("staging", "stg_orders").count() == staged + rev.count()   # only the new file
     fo = store.read("core", "fact_orders")
     assert fo.count() == n_orders                                                 # upsert, no duplicates
-    assert fo.where("order_status = 'F2'").count() == rev.select("order_id").distinct().count()
+    assert fo.where("order_status = 'F2'").count() == rev.where("order_id IS NOT NULL").select("order_id").distinct().count()
     assert store.read("marts", "fct_sales").where("order_status = 'F2'").count() == \
-        rev.select("order_id").distinct().count()
+        rev.where("order_id IS NOT NULL").select("order_id").distinct().count()
     # the partition-wise rebuilt mart equals a full rebuild from the stored silver tables
     from martflow.plans import gold
     full = gold.fct_sales(store.read("core", "fact_orders"), store.read("core", "fact_orderitems"),
@@ -250,4 +250,124 @@ def test_landing_pipeline_merge_policy_applies_late_revisions(spark, wh, scratch
     assert _rows(fo) == _rows(silver.fact_orders(staged))
     # every late revision wins, except where the order also has a later 'R' version
     winners = late.join(wh.stg_orders.where("order_status = 'R'"), "order_id", "left_anti")
-    assert fo.where("order_status = 'O2'").count() == winners.select("order_id").distinct().count() > 0
+    assert fo.where("order_status = 'O2'").count() == winners.where("order_id IS NOT NULL").select("order_id").distinct().count() > 0
+
+
+# safety of the store --------------------------------------------------------------
+
+def _keep_new(existing, incoming):
+    from martflow.operators.merge import merge_upsert
+    return merge_upsert(existing, incoming, ["order_id"], late_policy="merge", dedupe=False)
+
+
+def test_a_commit_in_between_is_not_lost(spark, wh, scratch):
+    """A writer that read version n fails if version n + 1 appeared meanwhile."""
+    from martflow.plans import silver
+    store = TableStore(spark, scratch("store"))
+    orders = silver.fact_orders(wh.stg_orders)
+    store.upsert("core", "fo", orders.where("order_id < 100"), ["order_id"], _keep_new, grain="year")
+
+    def slow(existing, incoming):  # another writer commits while this one merges
+        store.upsert("core", "fo", orders.where("order_id BETWEEN 100 AND 199"), ["order_id"], _keep_new, grain="year")
+        return _keep_new(existing, incoming)
+    with pytest.raises(Exception, match="(?i)exist"):
+        store.upsert("core", "fo", orders.where("order_id BETWEEN 200 AND 299"), ["order_id"], slow, grain="year")
+    assert _rows(store.read("core", "fo")) == _rows(orders.where("order_id < 200"))
+
+
+def test_a_torn_record_is_no_version(spark, wh, scratch):
+    store = TableStore(spark, scratch("store"))
+    v = store.replace("core", "ds", wh.dim_store)
+    open(os.path.join(store.table_path("core", "ds"), "_commits", f"{v + 1:020d}.json"), "w").close()
+    open(os.path.join(store.table_path("core", "ds"), "_commits", f".{v + 1:020d}-ab.tmp"), "w").write("{")
+    assert store.versions("core", "ds") == [v]
+    assert store.read("core", "ds").count() == wh.dim_store.count()
+
+
+def test_partition_grain_belongs_to_the_table(spark, wh, scratch):
+    from martflow.plans import silver
+    store = TableStore(spark, scratch("store"))
+    orders = silver.fact_orders(wh.stg_orders)
+    store.upsert("core", "fo", orders, ["order_id"], _keep_new, grain="year")
+    with pytest.raises(ValueError, match="partitioned"):
+        store.upsert("core", "fo", orders, ["order_id"], _keep_new, grain="day")
+
+
+def test_empty_and_evolving_tables_are_read_with_their_schema(spark, wh, scratch):
+    from martflow.plans import silver
+    store = TableStore(spark, scratch("store"))
+    orders = silver.fact_orders(wh.stg_orders)
+    store.upsert("core", "fo", orders.where("false"), ["order_id"], _keep_new, grain="year")
+    df = store.read("core", "fo")
+    assert df.count() == 0 and df.columns == orders.columns
+    store.append("core", "log", wh.stg_stores.drop("country"))
+    for _ in range(22):  # past a whole record
+        store.append("core", "log", wh.stg_stores.where("store_id = 1"))
+    df = store.read("core", "log")
+    assert df.columns[-1] == "country" and df.count() == wh.stg_stores.count() + 22 * wh.stg_stores.where("store_id = 1").count()
+    assert df.where("country IS NOT NULL").count() == 22 * wh.stg_stores.where("store_id = 1 AND country IS NOT NULL").count()
+    assert store.read_new("core", "log", 20).count() == 2 * wh.stg_stores.where("store_id = 1").count()
+
+
+def test_stream_upsert_quarantines_malformed_rows_once(spark, wh, scratch):
+    from martflow.plans import silver
+    from martflow.streaming.ingest import stream_upsert
+    schema = schemas.orders_schema(money=schemas.LANDING_MONEY, key_type=T.LongType())
+    src = scratch("landing-orders")
+    write_landing(wh.stg_orders, os.path.join(src, "p"), ENTITY_SCHEMAS["orders"])
+    store = TableStore(spark, scratch("store"))
+    for _ in range(2):
+        stream_upsert(spark, src + "/*", schema, store, "core", "fo", ["order_id"], silver.fact_orders, store.root + "-ckpt",
+                      grain="year").awaitTermination()
+    _, bad = read_landing(spark, src + "/*", schema)
+    assert store.read("core", "fo_quarantine").count() == bad.count() > 0
+
+
+def test_nothing_landed_yet_leaves_empty_tables(spark, scratch):
+    store = TableStore(spark, scratch("warehouse"))
+    out = pipeline.load_staging_from_landing(spark, scratch("landing-none"), store, ENTITY_SCHEMAS, store.root + "-ckpt")
+    assert set(out.values()) == {0} and store.read("staging", "stg_orders").count() == 0
+
+
+def test_quoted_line_breaks_need_multiline(spark, scratch):
+    path = scratch("landing-break")
+    os.makedirs(path)
+    with open(os.path.join(path, "f.csv"), "w") as f:
+        f.write('a,b,c,d,e,f\np1,"two\nlines",c,b,1.50,1995-01-01T00:00:00\n')
+    good, bad = read_landing(spark, path, PRODUCTS_LANDING, multiline=True)
+    assert [r.product_name for r in good.collect()] == ["two\nlines"] and bad.count() == 0
+    good, bad = read_landing(spark, path, PRODUCTS_LANDING)
+    assert good.count() == 0 and bad.count() == 2
+
+
+def test_the_session_keeps_its_csv_settings(spark, wh, scratch):
+    before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
+    path = scratch("landing-stores")
+    write_landing(wh.stg_stores, path, ENTITY_SCHEMAS["stores"])
+    assert read_landing(spark, path, ENTITY_SCHEMAS["stores"])[0].count() == wh.stg_stores.count()
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as N
+    from martflow.session import checkpoint_root
+    none = N(isDefined=lambda: False)
+    context = N(master="spark://host:7077", _jsc=N(sc=lambda: N(getCheckpointDir=lambda: none)))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(N(conf=N(get=lambda *_: None), sparkContext=context))
+
+
+def test_second_load_scenarios_have_work_to_do(spark, wh):
+    from martflow.plans import scenarios
+    from martflow.plans.registry import QUERIES
+    first = scenarios.load1(wh.stg_orders)
+    run = lambda name: QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert run("stage_append_newer").count() > first.count()
+    late = run("late_orders_dropped").count()
+    assert 0 < late < wh.stg_orders.count()
+    assert run("versions_customers").count() < wh.stg_customers.count()
+    assert run("scd2_products").where("valid_to IS NOT NULL").count() > 0
+    assert run("scd2_stores").where("valid_to IS NOT NULL").count() > 0
+    assert {r.table_name: r.late_dropped for r in run("pipeline_late_drop_counts").collect()}["fact_orders"] > 0
+    fallen_back = wh.stg_customers.where("last_name = 'CHANGED2' AND first_name IS NULL").select("customer_id")
+    assert wh.dim_customer.join(fallen_back, "customer_id").where("last_name = 'CHANGED'").count() > 0
