@@ -11,7 +11,9 @@ is perfect: every 23-bit word (shorter segments are zero-extended) decodes to
 exactly one codeword.  The keys of a fingerprint are therefore the codeword
 indices of a segment pair after flipping no or one bit of it, and linked
 fingerprints share at least one key.  Everything under a key is verified by
-its bit distance.
+its bit distance.  ``segments`` and ``chosen`` trade keys for their length:
+(3, 2) gives about 29 keys of 24 bits, good to some hundred million distinct
+fingerprints; (5, 3) gives 36 bits, for more.
 
 Edge cases: null or blank text has fingerprint zero and is linked like any
 other; fewer words than a shingle form one shingle; equal texts and repeated
@@ -119,35 +121,38 @@ def decode(word: np.ndarray) -> np.ndarray:
     return (word ^ error[low[word & 0xFFF] ^ high[word >> 12]]) >> 11
 
 
-SEGMENTS = ((0, 22), (22, 21), (43, 21))
+SEGMENTS, CHOSEN = 3, 2
 
 
-def golay_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def golay_keys(fp: np.ndarray, segments: int = SEGMENTS, chosen: int = CHOSEN) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of every fuzzy key of the fingerprints; a key once per row."""
     bits = fp.view(np.uint64)
     near = []
-    for start, length in SEGMENTS:
+    borders = np.linspace(0, 64, segments + 1).round().astype(int).tolist()
+    for start, length in zip(borders, np.diff(borders).tolist()):
         word = (bits >> np.uint64(start) & np.uint64((1 << length) - 1)).astype(np.int32)
         flips = np.array([0, *(1 << k for k in range(length))], np.int32)
         near.append(decode(word[:, None] ^ flips).astype(np.int64))
     rows, keys = [], []
-    for pair, (a, b) in enumerate(combinations(range(len(SEGMENTS)), 2)):
-        both = np.concatenate([near[a] << 12 | near[b][:, :1], near[a][:, :1] << 12 | near[b][:, 1:]], axis=1)
-        both.sort(axis=1)
-        new = np.ones(both.shape, bool)
-        new[:, 1:] = both[:, 1:] != both[:, :-1]
+    for number, members in enumerate(combinations(near, chosen)):
+        base = sum(m[:, :1] << 12 * i for i, m in enumerate(members))
+        # no bit flipped, or one bit of one segment
+        found = np.concatenate([base, *(base + (m[:, 1:] - m[:, :1] << 12 * i) for i, m in enumerate(members))], axis=1)
+        found.sort(axis=1)
+        new = np.ones(found.shape, bool)
+        new[:, 1:] = found[:, 1:] != found[:, :-1]
         r, c = np.nonzero(new)
         rows.append(r)
-        keys.append(both[r, c] | np.int64(pair) << 24)
+        keys.append(found[r, c] | np.int64(number) << 12 * chosen)
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def _key_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key_batches(it: Iterator[pa.RecordBatch], segments: int, chosen: int) -> Iterator[pa.RecordBatch]:
     for b in it:
         fp = b.column("fp").to_numpy(zero_copy_only=False)
         for low in range(0, len(fp), 1 << 13):
             part = fp[low:low + (1 << 13)]
-            row, key = golay_keys(part)
+            row, key = golay_keys(part, segments, chosen)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], ["key", "fp"])
 
 
@@ -226,13 +231,16 @@ def _link_batches(max_bits: int):
 HOT_KEY = 4096
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, chosen: int = CHOSEN) -> DataFrame:
     """(a, b): enough verified links to connect every component of distinct ``fp``.
 
     A key with over ``HOT_KEY`` fingerprints is dealt in blocks: each pair of
     blocks is one smaller run, so no task holds a whole hot key.
     """
-    keys = stored(distinct.select("fp").mapInArrow(_key_batches, "key long, fp long"), "golay-keys")
+    if max_bits * chosen // segments > 2 or not 0 < chosen < segments or 64 > 23 * segments:
+        raise ValueError("the chosen segments must hold at most two of the differing bits")
+    keys = stored(distinct.select("fp").mapInArrow(lambda it: _key_batches(it, segments, chosen), "key long, fp long"),
+                  "golay-keys")
     hot = stored(keys.groupBy("key").count().where(F.col("count") > HOT_KEY)
                  .select(F.col("key").alias("hot_key"), F.ceil(F.col("count") / HOT_KEY).cast("int").alias("blocks")),
                  "golay-hot")

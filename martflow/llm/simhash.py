@@ -146,11 +146,8 @@ def compare_in_order(docs: DataFrame) -> DataFrame:
     # Two rows per range at most: the last document of each meets the first of the next.
     borders = rows.where("is_first or is_last")
     firsts = borders.where("is_first").select("part", F.col("text").alias("next_text"), F.col("fp").alias("next_fp"))
-    parts = firsts.select("part")
-    after = parts.select("part", F.lead("part").over(Window.orderBy("part")).alias("next_part"))
-    wrap = parts.agg(F.min("part").alias("first_part"))
-    # one row per range, and the one row of the wrap-around
-    after = after.join(F.broadcast(wrap), F.lit(True)).select("part", F.coalesce("next_part", "first_part").alias("next_part"))
+    by_part = Window.orderBy("part")  # one row per range; the last goes on with the first
+    after = firsts.select("part", F.coalesce(F.lead("part").over(by_part), F.min("part").over(by_part)).alias("next_part"))
     last = borders.where("is_last").select("part", "doc_id", "text", "fp").join(after, "part").join(
         firsts.withColumnRenamed("part", "next_part"), "next_part").select("doc_id", "text", "fp", "next_text", "next_fp")
     ends = last.mapInArrow(_at_borders, _DDL)

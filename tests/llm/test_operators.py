@@ -242,12 +242,13 @@ def test_golay_decoding_is_perfect():
         assert (near_dedup.decode(code ^ flips) == index).all()
 
 
-def test_linked_fingerprints_share_a_key():
+@pytest.mark.parametrize("shape", [(3, 2), (5, 3), (4, 2)])
+def test_linked_fingerprints_share_a_key(shape):
     rng = random.Random(5)
     for _ in range(300):
         a = rng.getrandbits(64)
         b = a ^ sum(1 << p for p in rng.sample(range(64), rng.randrange(5)))
-        keys = [set(near_dedup.golay_keys(np.array([x], np.uint64).view(np.int64))[1].tolist()) for x in (a, b)]
+        keys = [set(near_dedup.golay_keys(np.array([x], np.uint64).view(np.int64), *shape)[1].tolist()) for x in (a, b)]
         assert keys[0] & keys[1]
 
 
