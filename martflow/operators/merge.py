@@ -10,9 +10,7 @@
 ``align_columns``  schema evolution: new incoming columns are appended, columns
                    missing on one side become NULL, nothing is dropped.
 
-The upsert is an anti-join of the target against the winning keys plus a
-union, i.e. one shuffle of the target on the key (or none when AQE sees the
-batch is small enough to broadcast).  The target is only read, never written
+The upsert is one full join of target and batch on the key.  The target is only read, never written
 in place; the caller writes the result as a new table version.
 """
 
@@ -73,17 +71,16 @@ def merge_upsert(existing: DataFrame | None, incoming: DataFrame, keys: Sequence
     if existing is None:
         return incoming
     existing, incoming = align_columns(existing, incoming)
+    # One full join on the key picks the winner of each key in a single pass
+    # over either side; both hold a key once, so no key is hot.
+    old = existing.select(*keys, F.struct("*").alias("_old"))
+    new = incoming.select(*keys, F.struct("*").alias("_new"))
+    wins = F.col("_new").isNotNull()
     if late_policy == "merge":
-        # Stored versions of the incoming keys only: a semi join whose build
-        # side is the batch, so a small batch never shuffles the target.
-        stored = (existing.select(*keys, F.col(ts_col).alias("_stored_ts"))
-                  .join(incoming.select(*keys), keys, "left_semi"))
-        incoming = (incoming.join(stored, keys, "left")
-                    .where(F.col("_stored_ts").isNull() | (F.col(ts_col) > F.col("_stored_ts")))
-                    .drop("_stored_ts"))
-    winners = incoming.select(*keys)
-    kept = existing.join(winners, keys, "left_anti")
-    return kept.unionByName(incoming)
+        stored = F.col(f"_old.{ts_col}")
+        wins = wins & (stored.isNull() | (F.col(f"_new.{ts_col}") > stored))
+    both = old.join(new, keys, "full").select(F.when(wins, F.col("_new")).otherwise(F.col("_old")).alias("_row"))
+    return both.select("_row.*")
 
 
 def late_count(incoming: DataFrame, hwm, ts_col: str = "created_at") -> int:
