@@ -6,8 +6,8 @@ by white space reaches across.  The distinct parts of a batch are searched in
 groups of equal length, which advance together: the hashes of all substrings
 of one length are probed in the sorted keys of the pieces of that length, and
 for every end place the best predecessor of all parts is one vectorised
-maximum, kept as a backpointer.  A worker caches parts in a table of bounded
-size.
+maximum, kept as a backpointer.  A task caches parts in a table of bounded
+size and frees it when it ends, as a worker goes on to other operators.
 
 The result is the segmentation with the largest sum of piece scores (of equal
 sums, the one whose last piece is longest, and so on towards the start).  That
@@ -37,7 +37,8 @@ from martflow.llm import words as W
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # below the smallest score, fixed by SentencePiece
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
+SLICE = 2 << 20  # bytes of text encoded at once
 GROUP_CHARS = 1 << 16
 PREFIX = np.uint64(44)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -212,6 +213,11 @@ class Pieces:
         cut = np.concatenate([[0], ends])[np.searchsorted(text_of[order], np.arange(rows + 1))]
         return [flat[a:z] for a, z in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
+    def forget(self) -> None:
+        """Free the cached parts."""
+        self.cache.clear()
+        self.known.clear()
+
     def decode(self, ids) -> str:
         """Text of one sequence of ids."""
         data = b"".join([self.out[i] for i in ids])
@@ -229,17 +235,20 @@ def pieces(model_path: str) -> Pieces:
 
 def _encode_batches(it: Iterator[pa.RecordBatch], model_path: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
     p = pieces(model_path)
-    for b in it:
-        text = b.column("__text")
-        for low, high in W.slices(text):
-            part = text.slice(low, high - low)
-            ids = p.encode(part)
-            same = [p.decode(i.tolist()) == (t or "").replace(SPACE, " ") for i, t in zip(ids, part.to_pylist())]
-            at = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*(b.column(c).slice(low, high - low) for c in columns), lists,
-                                              pa.array(np.diff(at), pa.int64()), pa.array(same)],
-                                             [*columns, "ids", "n_ids", "round_trip"])
+    try:
+        for b in it:
+            text = b.column("__text")
+            for low, high in W.slices(text, SLICE):
+                part = text.slice(low, high - low)
+                ids = p.encode(part)
+                same = [p.decode(i.tolist()) == (t or "").replace(SPACE, " ") for i, t in zip(ids, part.to_pylist())]
+                at = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(low, high - low) for c in columns), lists,
+                                                  pa.array(np.diff(at), pa.int64()), pa.array(same)],
+                                                 [*columns, "ids", "n_ids", "round_trip"])
+    finally:
+        p.forget()
 
 
 def _decode_batches(it: Iterator[pa.RecordBatch], model_path: str) -> Iterator[pa.RecordBatch]:
