@@ -105,8 +105,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     rows = stored(rows.withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2))), "quality-sample")
     snippets = rows.where("half = 0").select("doc_id", "y", "text").mapInArrow(
         _snippet_batches, "y int, turn int, snippet binary")
-    by = {y: [bytes(r.snippet) for r in snippets.where(F.col("y") == y).orderBy("turn", F.xxhash64("snippet"), "snippet")
-              .limit(SNIPPETS).select("snippet").collect()] for y in (0, 1)}
+    # stored first, so that only the chosen snippets reach the driver and not the best of every task
+    by = {y: [bytes(r.snippet) for r in stored(
+        snippets.where(F.col("y") == y).orderBy("turn", F.xxhash64("snippet"), "snippet").limit(SNIPPETS), "snippets")
+        .orderBy("turn", F.xxhash64("snippet"), "snippet").select("snippet").collect()] for y in (0, 1)}
     if min(map(len, by.values())) < MIN_SNIPPETS:
         return None
     good, bad = (_dictionary(by[y]) for y in (1, 0))
