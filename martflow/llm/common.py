@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.session import scratch_dir
@@ -38,6 +38,12 @@ def drop_rows(docs: DataFrame, rejected: DataFrame) -> DataFrame:
                      "left_anti").select(*docs.columns)
 
 
+def hash_bound(limit: Column, rows: Column) -> Column:
+    """Signed 64-bit bound below which about twice ``limit`` of ``rows`` hashes lie (all of them if there are fewer)."""
+    share = F.least(F.lit(1.0), 2.0 * limit / F.greatest(rows, F.lit(1)))
+    return F.when(share >= 1.0, F.lit((1 << 63) - 1)).otherwise(F.floor((share - 0.5) * 2.0**64).cast("long"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, limit: int,
                     value: int | None = None) -> DataFrame:
     """doc_id, y and text of at most ``limit`` labelled documents outside the held-out fold.
@@ -51,7 +57,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
              .groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("other")).where("y = other"))
     if value is not None:
         known = known.where(F.col("y") == value)
-    ids = known.orderBy(F.xxhash64("doc_id", F.lit(label)), "doc_id").limit(limit).select("doc_id", "y")
+    order = F.xxhash64("doc_id", F.lit(label))
+    # Twice the limit is expected below the bound: no task ranks more than that.
+    known = known.where(order <= hash_bound(F.lit(limit), F.lit(known.count())))
+    ids = known.orderBy(order, "doc_id").limit(limit).select("doc_id", "y")
     # at most ``limit`` ids
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from martflow.llm import words as W
-from martflow.llm.common import crc32_of_id, stored
+from martflow.llm.common import crc32_of_id, hash_bound, stored
 
 PER_LANGUAGE = 1_500
 GRAM_BITS = 17
@@ -222,8 +222,12 @@ def fit(docs: DataFrame, folds: int = 3, held: int = 1, per_language: int = PER_
     """Model from text and lang of documents outside the held-out fold; None if there are none."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                        & (F.pmod(crc32_of_id(), F.lit(folds)) != held))
-    ids = known.select("doc_id", "lang").withColumn("n", F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("n") <= per_language)
+    order = F.xxhash64("doc_id")
+    # Twice the limit is expected of each language below its bound: no task ranks more than that.
+    rows = stored(known.groupBy("lang").count(), "language-rows")
+    few = known.select("doc_id", "lang").join(rows, "lang").where(order <= hash_bound(F.lit(per_language), F.col("count")))
+    ids = few.withColumn("n", F.row_number().over(
+        Window.partitionBy("lang").orderBy(order, "doc_id"))).where(F.col("n") <= per_language)
     ids = stored(ids.select("doc_id", F.col("lang").alias("learned")), "language-sample")
     languages = tuple(sorted(r.learned for r in ids.select("learned").distinct().collect()))
     if not languages:
