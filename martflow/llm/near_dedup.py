@@ -278,9 +278,8 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("node", "root")
 
 
-def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and ``keep`` columns of every document."""
+def _grouped(docs: DataFrame, shingle_words: int, max_bits: int, keep: tuple[str, ...]) -> DataFrame:
+    """doc_id, fp, the ``keep`` columns, root (of the group, never null) and component_id of every document."""
     prints = stored(fingerprints(docs, shingle_words, keep), "fingerprints")
     classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(classes, max_bits))
@@ -288,17 +287,32 @@ def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: i
         "fp", F.coalesce("root", "fp").alias("root"), "first")
     member = stored(member, "members")
     smallest = stored(member.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    of = stored(member.join(smallest, "root").select("fp", "component_id"), "component-of")
-    return prints.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                                        "component_id", *keep)
+    of = stored(member.join(smallest, "root").select("fp", "root", "component_id"), "component-of")
+    return prints.join(of, "fp")
+
+
+def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id and ``keep`` columns of every document."""
+    return _grouped(docs, shingle_words, max_bits, keep).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *keep)
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with the smallest doc_id of their group; repeated rows of it count once."""
+    """One document of each group: that with the smallest doc_id (null if it has no other), then text hash.
+
+    Repeated rows of it count once; rows of other groups with the same id, or also without one, stay.
+    """
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
-    found = stored(near_groups(hashed, shingle_words, max_bits, keep=("text_hash",)), "near-groups")
-    gone = stored(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .select("doc_id", "text_hash").distinct(), "near-copies")
+    found = stored(_grouped(hashed, shingle_words, max_bits, ("text_hash",))
+                   .select("doc_id", "text_hash", "root", "component_id"), "near-groups")
+    is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    firsts = stored(found.where(is_first).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("rows")), "near-firsts")
+    several = stored(firsts.groupBy("root").agg(F.min("text_hash").alias("best"), F.count("*").alias("texts"))
+                     .where("texts > 1").select("root", "best"), "near-several")
+    others = firsts.join(several, "root").where("text_hash != best").select("doc_id", "text_hash")
+    gone = stored(found.where(~is_first).select("doc_id", "text_hash").distinct().union(others), "near-copies")
     kept = drop_rows(docs, gone)
-    repeated = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    if firsts.where("rows > 1").isEmpty():
+        return kept
+    return kept.withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)

@@ -279,6 +279,13 @@ def test_near_groups_on_edges(spark, edge, empty):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6, 8, 9, 10]
 
 
+def test_keep_one_keeps_a_document_of_each_group(spark):
+    one, two, three, four = (" ".join(f"{w}{i * i}" for i in range(60)) for w in ("alpha", "beta", "gamma", "delta"))
+    rows = [(None, one), (None, one), (None, two), (None, two + " "), (1, three), (1, three), (1, four), (2, four)]
+    kept = sorted((r.doc_id or 0, r.text.strip()) for r in near_dedup.keep_one(frame(spark, rows)).collect())
+    assert kept == sorted([(0, one), (0, two), (1, three), (1, four)])
+
+
 # 5: language ---------------------------------------------------------------------------
 
 def small_model():
