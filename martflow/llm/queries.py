@@ -34,17 +34,24 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contract columns, then the rows within the radius of every fiftieth document (itself included; else null)."""
+    """Contract columns, then what is within the radius of every fiftieth document (itself included; else null).
+
+    ``n_within_radius`` counts rows, ``within_radius`` lists their fingerprints with the distance; the rows of
+    the result that have a listed fingerprint are the documents found.
+    """
     rows = simhash.compare_in_order(table(spark, sf_dir, "documents"))
     rows = stored(rows, "compared")
     asked = rows.where(F.pmod("doc_id", F.lit(50)) == 0)
     near = stored(simhash.within(asked, rows), "within").withColumnRenamed("fp", "__fp")
-    counted = asked.join(near, asked.fp == near["__fp"]).select(*rows.columns, F.col("n").alias("n_within_radius"))
+    counted = asked.join(near, asked.fp == near["__fp"]).select(
+        *rows.columns, F.col("n").alias("n_within_radius"), F.col("found").alias("within_radius"))
     rest = rows.where(F.col("doc_id").isNull() | (F.pmod("doc_id", F.lit(50)) != 0)).withColumn(
-        "n_within_radius", F.lit(None).cast("long"))
+        "n_within_radius", F.lit(None).cast("long")).withColumn(
+        "within_radius", F.lit(None).cast(near.schema["found"].dataType))
     return counted.union(rest).select(
         "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fp")).alias("fingerprint"),
-        F.lower(F.hex("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next", "n_within_radius")
+        F.lower(F.hex("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next", "n_within_radius",
+        "within_radius")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -202,6 +202,30 @@ def test_block_tables_find_all_within_the_radius(spark, radius, blocks):
     assert found == {p.to_bytes(16, "little"): sum((p ^ q).bit_count() <= radius for q in prints) for p in prints}
 
 
+@pytest.mark.parametrize("radius, blocks", [(11, 6), (3, 4), (9, 4), (1, 4)])
+def test_search_returns_each_fingerprint_within_the_radius(spark, radius, blocks):
+    rng = random.Random(radius)
+    base = [rng.getrandbits(128) for _ in range(20)]
+    prints = base + [b ^ sum(1 << p for p in rng.sample(range(128), rng.randrange(15))) for b in base for _ in range(6)] + base[:3]
+    df = spark.createDataFrame([(p.to_bytes(16, "little"),) for p in prints], "fp binary")
+    rows = simhash.pairs_within(df.limit(15), df, radius, blocks).collect()
+    as_int = {p.to_bytes(16, "little"): p for p in prints}
+    found = sorted((as_int[bytes(r.fp)], as_int[bytes(r.found)], r.distance, r.rows) for r in rows)
+    assert found == sorted((p, q, (p ^ q).bit_count(), prints.count(q)) for p in set(prints[:15]) for q in set(prints)
+                           if (p ^ q).bit_count() <= radius)
+
+
+def test_fingerprint_query_lists_an_edited_copy(spark, monkeypatch):
+    text = " ".join(f"word{i * i % 997}" for i in range(250))
+    copy = text.replace("word4 ", "other ", 1)
+    docs = frame(spark, [(50, text), (51, copy), (52, copy), (53, "something else entirely")])
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    rows = {r.doc_id: r for r in queries.op3_document_fingerprints(spark, "").collect()}
+    listed = {x.fingerprint for x in rows[50].within_radius}
+    assert {i for i, r in rows.items() if r.fingerprint in listed} == {50, 51, 52}
+    assert rows[50].n_within_radius == 3 and rows[51].within_radius is None
+
+
 # 4: near-dedup ----------------------------------------------------------------------
 
 def plain_fingerprint(text):
