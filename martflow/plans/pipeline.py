@@ -10,6 +10,7 @@ alone.  Models are plain functions; this module only sequences them.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.operators import history, quality
@@ -35,27 +36,39 @@ class QualityGateError(RuntimeError):
     pass
 
 
+def _not_staged(incoming: DataFrame, staged: DataFrame | None) -> DataFrame:
+    """Rows of a re-scanned folder that staging lacks, null-safe; a row landed again stays as often as it is new."""
+    if staged is None:
+        return incoming
+    known = [F.col(f.name) if f.name in staged.columns else F.lit(None).cast(f.dataType).alias(f.name)
+             for f in incoming.schema.fields]
+    return incoming.exceptAll(staged.select(*known))
+
+
 def load_staging(w: Warehouse, store: TableStore) -> dict[str, int]:
     """Append one landed load.
 
     Dimension prefixes are re-scanned, so only rows newer than the staging
-    table's high-water mark are appended.  Orders and items come in loads that
-    are each appended whole and once (``w.load_id`` names the load): a late row
-    must not be lost here, whatever the late policy downstream.
+    table's high-water mark are appended.  A late order or item must not be
+    lost here, whatever the late policy downstream: a named load
+    (``w.load_id``) is appended whole and once; a folder without a name may
+    have grown since an earlier run, so the rows that staging lacks are appended.
     """
-    load = getattr(w, "load_id", None) or w.sf_dir
+    load = getattr(w, "load_id", None)
     out = {}
     for e in STAGED:
         name = f"stg_{e}"
         incoming, meta = getattr(w, name), None
-        if e in ("orders", "orderitems"):
+        if e not in ("orders", "orderitems"):
+            incoming = newer_than(incoming, store.high_water_mark("staging", name))
+        elif load is None:
+            incoming = _not_staged(incoming, store.read("staging", name))
+        else:
             versions = store.versions("staging", name)
             if any(store.commit_info("staging", name, v).get("load") == load for v in versions):
                 out[name] = versions[-1]
                 continue
             meta = {"load": load}
-        else:
-            incoming = newer_than(incoming, store.high_water_mark("staging", name))
         out[name] = store.append("staging", name, incoming, hwm_col="created_at", meta=meta)
     return out
 
