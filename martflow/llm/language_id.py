@@ -261,6 +261,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.4) -> DataFrame:
     """The documents with a language that makes up at least ``min_score`` of them, unchanged; one pass, no shuffle."""
+    if model is None:  # nothing learned, nothing to reject by
+        return docs
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             lang, score = classify(b.column("text"), model)

@@ -325,6 +325,10 @@ def small_model():
     return language_id.Model(languages, grams - grams.mean(axis=1, keepdims=True), uses)
 
 
+def test_no_language_model_keeps_every_document(spark, edge):
+    assert language_id.keep_languages(edge, None).count() == len(EDGE)
+
+
 def test_viterbi_equals_all_paths():
     rng = np.random.default_rng(2)
     for _ in range(20):
