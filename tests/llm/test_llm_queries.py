@@ -4,6 +4,8 @@ import duckdb
 import public_tokenizers
 import pytest
 
+from brute_force import plain_components, plain_contamination
+
 import corpus_pipeline
 from martflow.llm import language_id, near_dedup, quality, queries, sentencepiece_viterbi
 from martflow.llm.common import stored, table
@@ -41,7 +43,6 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     good = docs.where(docs.doc_id.isin([*rows]))
     found = {r.doc_id: r for r in language_id.predict(good, language_id.fit(good)).collect()}
     rows = {i: t for i, t in rows.items() if found[i].lang_pred != "und" and found[i].score >= 0.4}
-    from test_operators import plain_components, plain_contamination
     ids = sorted(rows)
     roots = plain_components([near_dedup.fingerprint_text(rows[i].encode()) % (1 << 64) for i in ids], 4)
     rows = {i: rows[i] for k, i in enumerate(ids) if roots[k] == k}
