@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.llm import (decontaminate, language_id, near_dedup, quality, sentencepiece_viterbi, sharding, simhash,
+from martflow.llm import (alignment, bpe, collocations, decontaminate, language_id, near_dedup, quality, sentencepiece_viterbi, sharding, simhash,
                           token_records, tool_calls, toxicity)
 from martflow.llm.common import crc32_of_id, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 
 
@@ -90,8 +91,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECES)
+    return alignment.align_rows(docs, *files, alignment.count_pairs(docs, *files))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_records, op2_toxicity, op3_document_fingerprints, op4_simhash_near_dedup, op5_language_id, op6_decontamination, op7_tool_call_linking,
-    op8_quality, op9_sentencepiece, op10_sharding)}
+    op8_quality, op9_sentencepiece, op10_sharding, op11_alignment, op12_bpe, op13_collocations)}
 
-ORACLE: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE, "op7_tool_call_linking": tool_calls.ORACLE}
+ORACLE: dict[str, str] = {"op6_decontamination": decontaminate.ORACLE, "op7_tool_call_linking": tool_calls.ORACLE,
+                          "op13_collocations": collocations.ORACLE}

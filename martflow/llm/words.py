@@ -151,7 +151,7 @@ def combine(w: Words, *gaps: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordCache:
-    """Token ids of words by word hash, for at most ``limit`` words; then it starts anew."""
+    """Token ids of words by word hash, for at most ``limit`` words (or sixteen times as many ids); then it starts anew."""
 
     def __init__(self, limit: int):
         self.limit = limit
@@ -174,7 +174,7 @@ class WordCache:
         seen = place < len(self.known)
         seen[seen] = self.known[place[seen]] == distinct[seen]
         if not seen.all():
-            if len(self.known) + len(distinct) > self.limit:
+            if len(self.known) + len(distinct) > self.limit or len(self.ids) > 16 * self.limit:
                 self.clear()
                 seen = np.zeros(len(distinct), bool)
             flat, sizes = encode_new(first[~seen])
