@@ -356,7 +356,7 @@ class PerfectHash:
 
     @staticmethod
     def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-        return (W.mix(keys + np.uint64(level + 1) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(size)).astype(np.int64)
+        return (W.mix(keys + np.uint64((level + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) % np.uint64(size)).astype(np.int64)
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key; -1 or another key's place for one that was not given."""
