@@ -21,6 +21,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
+    """From now on Arrow batches of the session hold ``rows`` rows and ``size`` bytes at most (or less, if set so)."""
+    for key, most, default in (("maxRecordsPerBatch", rows, 10_000), ("maxBytesPerBatch", size, 1 << 26)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = str(spark.conf.get(key, str(default)))
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def crc32_of_id(column: str = "doc_id"):
     """Unsigned crc32 of an id written as decimal text (null: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary"))

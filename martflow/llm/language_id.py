@@ -42,6 +42,7 @@ SWITCH_PENALTY = 8.0
 OTHER_SCRIPT = -6.0  # score of a language that does not use the word's script
 SCRIPT_SHARE = 0.01  # of a language's words, for it to be said to use a script
 UNKNOWN = "und"
+SLICE = 1 << 20  # bytes of text labelled at once
 
 # First code points of script ranges (Unicode blocks), in order.
 SCRIPT_STARTS = (
@@ -164,7 +165,7 @@ def classify(texts: pa.Array, model: Model | None) -> tuple[list[str], np.ndarra
     if model is None:
         return names.tolist(), score
     letters = pc.match_substring_regex(texts.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
-    for low, high in W.slices(texts):
+    for low, high in W.slices(texts, SLICE):
         n = high - low
         w, label, known, lettered = label_words(prepared(texts.slice(low, n)), model)
         size = (w.end - w.start).astype(np.float64) * lettered
@@ -200,7 +201,7 @@ def _count_batches(languages: tuple[str, ...]):
         for b in it:
             lang = np.array([number[x] for x in b.column("lang").to_pylist()], np.int64)
             texts = b.column("text")
-            for low, high in W.slices(texts):
+            for low, high in W.slices(texts, SLICE):
                 raw, at = W.buffer_of(prepared(texts.slice(low, high - low)))
                 w = W.words(raw, at, W.ALNUM, lower=False, hashed=False)
                 if not len(w.start):
@@ -234,7 +235,7 @@ def fit(docs: DataFrame, folds: int = 3, held: int = 1, per_language: int = PER_
         return None
     # per_language ids of each language at most
     sample = known.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id").where("lang = learned")
-    found = sample.select("lang", "text").mapInArrow(_count_batches(languages), "place long, n long")
+    found = sample.select("lang", "text").mapInArrow(W.released(_count_batches(languages)), "place long, n long")
     total = found.groupBy("place").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(((1 << GRAM_BITS) + len(SCRIPTS)) * len(languages))
     counts[total.place.to_numpy(np.int64)] = total.n.to_numpy()
@@ -256,7 +257,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             lang, score = classify(b.column("text"), model)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score)],
                                              ["doc_id", "lang_pred", "score"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(W.released(batches), "doc_id long, lang_pred string, score double")
 
 
 def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.4) -> DataFrame:
@@ -267,4 +268,4 @@ def keep_languages(docs: DataFrame, model: Model | None, min_score: float = 0.4)
         for b in it:
             lang, score = classify(b.column("text"), model)
             yield b.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(lang, score)], pa.bool_()))
-    return docs.mapInArrow(batches, docs.schema)
+    return docs.mapInArrow(W.released(batches), docs.schema)

@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martflow.llm import words as W
 from martflow.llm.common import drop_rows, stored
 
 SEED = 42
@@ -85,7 +86,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, keep: tupl
 
     source = docs.select(*cols, F.col("text").cast("binary").alias("__text"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.select(*cols).schema.fields)
-    return source.mapInArrow(batches, f"{schema}, fp long")
+    return source.mapInArrow(W.released(batches), f"{schema}, fp long")
 
 
 # Golay keys -----------------------------------------------------------------

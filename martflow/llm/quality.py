@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martflow.llm import words as W
 from martflow.llm.common import labelled_sample, logistic, stored
 
 PER_CLASS = 4_000
@@ -142,7 +143,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         for b in it:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score_texts(b.column("text"), model, sizes))],
                                              ["doc_id", "score"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, "doc_id long, score double")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(W.released(batches), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> DataFrame:
@@ -151,4 +152,4 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.5) -> D
         sizes = Sizes(model.good, model.bad) if model else None
         for b in it:
             yield b.filter(pa.array(score_texts(b.column("text"), model, sizes) >= threshold))
-    return docs.mapInArrow(batches, docs.schema)
+    return docs.mapInArrow(W.released(batches), docs.schema)

@@ -38,8 +38,8 @@ from martflow.llm import words as W
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # below the smallest score, fixed by SentencePiece
 CACHE_WORDS = 200_000
-SLICE = 2 << 20  # bytes of text encoded at once
-GROUP_CHARS = 1 << 16
+SLICE = 1 << 20  # bytes of text encoded at once
+GROUP_CHARS = 1 << 15
 PREFIX = np.uint64(44)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 # Words end at a space only; other white space is part of them.
@@ -91,7 +91,7 @@ class Pieces:
         for key in self.keys.values():
             self.maybe[(key >> PREFIX).astype(np.int64)] = True
         self.cache = W.WordCache(cache_words)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids of parts, 32 bits each
         # Safe cuts: no piece has these two neighbours, so none reaches across.
         after_word = {b for i in plain for a, b in zip(text[i], text[i][1:]) if a.isalnum() and not b.isalnum()}
         cuts = [f"(?<=[^\\W_])(?=[^\\w{re.escape(SPACE + ''.join(sorted(after_word)))}])"]
@@ -157,9 +157,13 @@ class Pieces:
                 group = members[low:low + step]
                 chars = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), length)
                 ids, sizes = self.viterbi(chars)
-                ends, ids = np.cumsum(sizes).tolist(), ids.tolist()
+                ends, ids = np.cumsum(sizes).tolist(), ids.astype(np.int32)
+                known = (ids < 0).cumsum()
                 for part, a, z in zip(group, [0, *ends], ends):
-                    self.known[part] = self._with_bytes(ids[a:z]) if min(ids[a:z]) < 0 else ids[a:z]
+                    if known[z - 1] > (known[a - 1] if a else 0):
+                        self.known[part] = np.array(self._with_bytes(ids[a:z].tolist()), np.int32).tobytes()
+                    else:
+                        self.known[part] = ids[a:z].tobytes()
 
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all parts in one array, and the number of ids of each."""
@@ -167,9 +171,9 @@ class Pieces:
             self.known.clear()
         cut = [self.cuts.split(p) for p in parts]
         self._search(list({x for c in cut for x in c if x and x not in self.known}))
-        found = [[i for x in c if x for i in self.known[x]] for c in cut]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.int64, int(sizes.sum())), sizes
+        found = [b"".join([self.known[x] for x in c if x]) for c in cut]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.int32).astype(np.int64), sizes
 
     def _with_bytes(self, ids: list[int]) -> list[int]:
         out: list[int] = []
@@ -261,7 +265,7 @@ def _decode_batches(it: Iterator[pa.RecordBatch], model_path: str) -> Iterator[p
 def _encoded(docs: DataFrame, model_path: str, columns: list[str]) -> DataFrame:
     source = docs.select(*columns, F.col("text").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*columns).schema.fields)
-    return source.mapInArrow(lambda it: _encode_batches(it, model_path, columns),
+    return source.mapInArrow(W.released(lambda it: _encode_batches(it, model_path, columns)),
                              f"{schema}, ids array<int>, n_ids long, round_trip boolean")
 
 

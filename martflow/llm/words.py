@@ -7,6 +7,7 @@ that end outside words, so its memory does not depend on the length of a text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -150,6 +151,20 @@ def combine(w: Words, *gaps: int) -> tuple[np.ndarray, np.ndarray]:
     return h[same], w.doc[:n][same]
 
 
+def released(batches):
+    """``batches`` for mapInArrow; when a task ends, unused memory goes back to the system, as workers live on."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from batches(it)
+        finally:
+            _powers.clear()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+    return run
+
+
 class WordCache:
     """Token ids of words by word hash, for at most ``limit`` words (or sixteen times as many ids); then it starts anew."""
 
