@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: five operators, one after the other.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
-kept.  The stages before the last return the columns of ``documents``; the
+kept.  Stages that run Python hand it batches of at most a few megabytes.  The stages before the last return the columns of ``documents``; the
 last returns each remaining document with its token ids.
 """
 
@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.llm import decontaminate, language_id, near_dedup, quality, sentencepiece_viterbi
-from martflow.llm.common import stored, table
+from martflow.llm.common import small_batches, stored, table
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -19,16 +19,19 @@ MAX_BITS = 4
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose compression score says good."""
+    small_batches(spark)
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents mostly in one learned language."""
+    small_batches(spark)
     return language_id.keep_languages(docs, language_id.fit(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    small_batches(spark)
     return near_dedup.keep_one(docs, SHINGLE_WORDS, MAX_BITS)
 
 
@@ -39,6 +42,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents with their ids, and whether these decode to the text."""
+    small_batches(spark)
     return sentencepiece_viterbi.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
