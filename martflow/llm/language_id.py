@@ -42,7 +42,7 @@ SWITCH_PENALTY = 8.0
 OTHER_SCRIPT = -6.0  # score of a language that does not use the word's script
 SCRIPT_SHARE = 0.01  # of a language's words, for it to be said to use a script
 UNKNOWN = "und"
-SLICE = 1 << 20  # bytes of text labelled at once
+SLICE = 2 << 20  # bytes of text labelled at once
 
 # First code points of script ranges (Unicode blocks), in order.
 SCRIPT_STARTS = (
