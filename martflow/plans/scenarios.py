@@ -17,7 +17,7 @@ from martflow.operators.clean import clamp, high_water_mark, ts_literal
 from martflow.operators.dedupe import latest_per_key, versions_per_key
 from martflow.plans import silver
 from martflow.plans.warehouse import Warehouse
-from martflow.session import checkpoint_root
+from martflow.session import cut_lineage
 
 # Fixed values of the scenarios.
 LATE_PAYMENT_TYPE = "5-LOW"
@@ -27,12 +27,6 @@ SCD2_BATCH_CUTS = ("1995-01-01 00:00:00", "1995-01-31 00:00:00")
 HARD_DELETE_NOW = "1995-03-15 00:00:00"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint below ``spark.checkpoint.dir`` (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def load1(stg_orders: DataFrame) -> DataFrame:
     return stg_orders.where(in_load1())
 
@@ -128,6 +122,18 @@ def scd2_customers_incremental(w: Warehouse) -> DataFrame:
     return h
 
 
+def scd2_shuffled(entity: str, key: str):
+    """Three batches dealt by a hash of the row, so versions arrive in any order; must equal the rebuild."""
+    def run(w: Warehouse) -> DataFrame:
+        staged = getattr(w, f"stg_{entity}")
+        number = F.pmod(F.xxhash64(key, "created_at", "ingestion_ts"), F.lit(3))
+        h = None
+        for b in range(3):
+            h = cut_lineage(history.apply_scd2(h, staged.where(number == b), [key], late="split"))
+        return h
+    return run
+
+
 def scd2_hard_delete(w: Warehouse) -> DataFrame:
     """Base versions, then a full extract holding only the changed customers:
     every customer missing from it is closed at the run time."""
@@ -171,6 +177,9 @@ SCENARIOS = {
     "scd2_stores": scd2_stores,
     "scd2_customers_incremental": scd2_customers_incremental,
     "scd2_hard_delete": scd2_hard_delete,
+    "scd2_customers_late": scd2_shuffled("customers", "customer_id"),
+    "scd2_products_late": scd2_shuffled("products", "product_id"),
+    "scd2_stores_late": scd2_shuffled("stores", "store_id"),
     "dq_summary": lambda w: quality.summary(silver_tables(w)),
     "dq_failures": lambda w: quality.failures(silver_tables(w)),
     "dq_summary_staged": lambda w: quality.summary(staged_tables(w)),

@@ -67,6 +67,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def cut_lineage(df):
+    """Reliable checkpoint below ``spark.checkpoint.dir`` (survives executor loss)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
