@@ -106,6 +106,75 @@ def _duplicates(df: DataFrame, check: Check, scope: DataFrame | None = None) ->
     return src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
 
 
+# Fixed values of Spark's bitmap functions, and what a row of a grouped count takes in a shuffle.
+BITMAP_BITS = 32_768
+BITMAP_BYTES = BITMAP_BITS // 8
+GROUP_ROW_BYTES = 24
+
+
+def dense_key(df: DataFrame, cols: Sequence[str]) -> DataFrame | None:
+    """``df`` with its integer key as one number ``_key`` (NULL if a part is), or None if that is no 64-bit number.
+
+    Several columns are combined by place value: each counts from its least
+    value and is worth as much as the ranges of those behind it.
+    """
+    if not all(isinstance(df.schema[c].dataType, T.IntegralType) for c in cols):
+        return None
+    if len(cols) == 1:
+        return df.select(*cols, F.col(cols[0]).cast("long").alias("_key"))
+    ends = df.agg(*[f(c).cast("long") for c in cols for f in (F.min, F.max)]).first()
+    low, spans = ends[::2], [None if a is None else b - a + 1 for a, b in zip(ends[::2], ends[1::2])]
+    product = 1
+    for span in spans:
+        product *= span or 1
+    if product >= 1 << 62 or any(a is not None and not -(1 << 62) < a < 1 << 62 for a in ends):
+        return None
+    key = F.lit(0).cast("long")
+    for c, a, span in zip(cols, low, spans):
+        key = key * F.lit(span or 1) + (F.col(c).cast("long") - F.lit(a or 0))
+    return df.select(*cols, key.alias("_key"))
+
+
+def bitmap_pays(keyed: DataFrame) -> bool:
+    """Whether bitmaps shuffle less than one row per key: few buckets of keys per input partition.
+
+    One pass over the key column; it gathers two numbers.  Keys that lie together
+    (a table written in key order, or loaded by time with growing keys) pay,
+    random ones do not.
+    """
+    per_task = keyed.groupBy(F.spark_partition_id().alias("_p")).agg(
+        F.count("_key").alias("n"), F.approx_count_distinct(F.bitmap_bucket_number("_key")).alias("buckets"))
+    n, buckets = per_task.agg(F.sum("n"), F.sum("buckets")).first()
+    return buckets is not None and buckets * BITMAP_BYTES < n * GROUP_ROW_BYTES
+
+
+def bitmap_buckets(keyed: DataFrame) -> DataFrame:
+    """Buckets of 32,768 neighbouring keys that hold one twice: more rows than distinct bits.
+
+    A key is one bit of its bucket's bitmap, so this is exact.  Map tasks ship one row
+    of 4 KB for each bucket they hold, whatever the number of its rows.
+    """
+    return (keyed.where(F.col("_key").isNotNull()).groupBy(F.bitmap_bucket_number("_key").alias("_bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.bitmap_construct_agg(F.bitmap_bit_position("_key")).alias("bits"))
+            .where(F.col("n") > F.bitmap_count("bits")).select("_bucket"))
+
+
+def bitmap_duplicates(df: DataFrame, check: Check) -> DataFrame:
+    """``_duplicates`` for integer keys: only rows of buckets that hold a repeated key are grouped.
+
+    Falls back to the grouped count where the key is no integer or bitmaps would
+    shuffle more; rows with a NULL part are counted apart, as combinations may hold them.
+    """
+    cols = list(check.columns)
+    keyed = dense_key(df.select(*cols), cols)
+    if keyed is None or not bitmap_pays(keyed):
+        return _duplicates(df, check)
+    suspect = keyed.withColumn("_bucket", F.bitmap_bucket_number("_key")).join(bitmap_buckets(keyed), "_bucket", "left_semi")
+    if check.kind == "unique_combination":
+        suspect = suspect.select(*cols).unionByName(keyed.where(F.col("_key").isNull()).select(*cols))
+    return suspect.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
+
+
 def _one_pass(df: DataFrame, row_checks: Sequence[Check], unique: Check) -> DataFrame:
     """All assertions of a table with one key from a single scan.
 
@@ -170,12 +239,14 @@ def summary(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUI
     return out
 
 
-def failures(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUITE) -> DataFrame:
+def failures(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SUITE, bitmaps: bool = False) -> DataFrame:
     """The offending rows (row checks, n_records = 1) and values (uniqueness).
 
     All row checks of one table run in a single pass: each row yields the
-    array of checks it fails (usually empty), which is exploded.
+    array of checks it fails (usually empty), which is exploded.  With
+    ``bitmaps`` uniqueness of integer keys is counted by :func:`bitmap_duplicates`.
     """
+    repeated = bitmap_duplicates if bitmaps else _duplicates
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for ch in suite:
@@ -193,7 +264,7 @@ def failures(tables: Mapping[str, DataFrame], suite: Sequence[Check] = SILVER_SU
                                  F.lit(1).cast("long").alias("n_records")))
         for ch in checks:
             if ch.kind in GROUP_KINDS:
-                parts.append(_duplicates(df, ch).select(
+                parts.append(repeated(df, ch).select(
                     *_label_cols(ch), _value_text(ch.columns).alias("value"), "n_records"))
     out = parts[0]
     for p in parts[1:]:

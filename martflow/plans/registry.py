@@ -90,6 +90,7 @@ _SCEN_SQL.update({
     "dq_summary_staged": _o.dq_summary_sql(_SUITE, staged=True),
     "dq_failures_staged": _o.dq_failures_sql(_SUITE, staged=True),
     "dq_unique": _o.dq_failures_sql(_s.suite_of("unique"), staged=True),
+    "dq_unique_bitmap": _o.dq_failures_sql(_s.suite_of("unique") + _s.suite_of("unique_combination"), staged=True),
     "dq_not_null": _o.dq_failures_sql(_s.suite_of("not_null"), staged=True),
     "dq_non_negative": _o.dq_failures_sql(_s.suite_of("non_negative"), staged=True),
     "dq_unique_pair": _o.dq_failures_sql(_s.suite_of("unique_combination"), staged=True),

@@ -187,6 +187,7 @@ SCENARIOS = {
     "dq_unique": lambda w: quality.failures(staged_tables(w), suite_of("unique")),
     "dq_not_null": lambda w: quality.failures(staged_tables(w), suite_of("not_null")),
     "dq_non_negative": lambda w: quality.failures(staged_tables(w), suite_of("non_negative")),
+    "dq_unique_bitmap": lambda w: quality.failures(staged_tables(w), suite_of("unique") + suite_of("unique_combination"), bitmaps=True),
     "dq_unique_pair": lambda w: quality.failures(staged_tables(w), suite_of("unique_combination")),
 }
 
