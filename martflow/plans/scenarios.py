@@ -253,6 +253,26 @@ def stream_upsert_orders(w: Warehouse) -> DataFrame:
     return store.read("core", "fact_orders")
 
 
+def stream_upsert_redelivered(w: Warehouse) -> DataFrame:
+    """Orders delivered three times, the last one after a restart of the stream: the rows that reached the upsert
+    (each landed row once), and the table they make."""
+    src = scratch_dir(w.spark, "landing-orders")
+    store = TableStore(w.spark, scratch_dir(w.spark, "store"))
+    passed: list[int] = []
+
+    def counted(rows: DataFrame) -> DataFrame:
+        passed.append(rows.count())
+        return silver.fact_orders(rows)
+
+    for upload in (("a", "b"), ("c",)):
+        for name in upload:
+            write_landing(w.stg_orders, f"{src}/{name}", ENTITY_SCHEMAS["orders"])
+        stream_upsert(w.spark, src, ENTITY_SCHEMAS["orders"], store, "core", "fact_orders", ["order_id"], counted,
+                      checkpoint=store.root + "-ckpt", cluster_by=["created_at", "order_id"], grain=FACT_GRAIN,
+                      max_files_per_trigger=1, redelivery="2 days").awaitTermination()
+    return store.read("core", "fact_orders").withColumn("rows_upserted", F.lit(sum(passed)).cast("long"))
+
+
 def pipeline_fct_sales(w: Warehouse) -> DataFrame:
     """The whole build (staging -> silver -> quality gate -> gold -> history) into a
     fresh table store; returns the stored flagship mart."""
@@ -394,6 +414,7 @@ SCENARIOS.update({
     "stream_ingest_orders": stream_ingest("orders"),
     "stream_ingest_orderitems": stream_ingest("orderitems"),
     "stream_upsert_orders": stream_upsert_orders,
+    "stream_upsert_redelivered": stream_upsert_redelivered,
     "pipeline_fct_sales": pipeline_fct_sales,
     "pipeline_late_merge_fact_orders": lambda w: built_twice(w, "merge").read("core", "fact_orders"),
     "pipeline_rerun_fct_sales": lambda w: built_twice(w, "merge").read("marts", "fct_sales"),

@@ -11,6 +11,10 @@
                     applied batch id is recorded in the table's commit, so a
                     replay after a failure is a no-op.
 
+                    With ``redelivery`` rows that were delivered before within
+                    that time never reach the upsert: they are dropped by keyed
+                    state of the stream.
+
 ``row_number`` cannot run on a stream directly, hence ``foreachBatch``; the
 late-row rule of the original (drop rows not newer than the target's max) is
 the ``late_policy="drop"`` option, not a watermark (a watermark bounds state,
@@ -28,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martflow.operators.clean import newer_than
 from martflow.operators.merge import late_count, merge_upsert
-from martflow.sources.landing import csv_options, raw_schema, split_good_bad, type_rows, with_source_file
+from martflow.sources.landing import SOURCE_FILE, csv_options, raw_schema, split_good_bad, type_rows, with_source_file
 from martflow.sources.tables import TableStore
 
 BATCH_COL = "load_batch"
@@ -42,6 +46,21 @@ def landing_stream(spark: SparkSession, path: str, schema: T.StructType,
     return with_source_file(reader.csv(path))
 
 
+def without_redelivered(raw: DataFrame, within: str) -> DataFrame:
+    """Each landed row once, however often it is delivered ``within`` that time (as "2 days").
+
+    The state holds one entry per row (all its landed columns: a corrected row of the
+    same version time is another one) and is cleared by a watermark.  The watermark
+    follows the time of arrival and not the version time: one on the version time
+    would drop late orders, which the upsert must see, and no row is late by its
+    arrival.  A row delivered again after that time reaches the upsert, which
+    ignores versions that are not newer.  Malformed rows are delivered once, too.
+    """
+    landed = [c for c in raw.columns if c != SOURCE_FILE]
+    return (raw.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+            .dropDuplicatesWithinWatermark(landed).drop("_arrived"))
+
+
 def _start(df: DataFrame, fn, checkpoint: str, trigger: str, name: str | None) -> StreamingQuery:
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     if name:
@@ -81,9 +100,17 @@ def stream_upsert(spark: SparkSession, path: str, schema: T.StructType, store: T
                   model: Callable[[DataFrame], DataFrame], checkpoint: str,
                   late_policy: str = "merge", trigger: str = "availableNow",
                   max_files_per_trigger: int | None = None,
-                  cluster_by: Sequence[str] | None = None, grain: str = "day") -> StreamingQuery:
-    """Micro-batches of landed files -> ``model`` (clean + newest per key) -> upsert."""
+                  cluster_by: Sequence[str] | None = None, grain: str = "day",
+                  redelivery: str | None = None) -> StreamingQuery:
+    """Micro-batches of landed files -> ``model`` (clean + newest per key) -> upsert.
+
+    ``redelivery``: how long rows delivered again are kept from the upsert (see
+    :func:`without_redelivered`).  Give it from a stream's first start on: its
+    state is part of the checkpoint.
+    """
     raw = landing_stream(spark, path, schema, max_files_per_trigger)
+    if redelivery:
+        raw = without_redelivered(raw, redelivery)
     fn = upsert_batch_fn(schema, store, layer, table, keys, model, late_policy, cluster_by, grain)
     return _start(raw, fn, checkpoint, trigger, None)
 
@@ -104,8 +131,9 @@ def upsert_batch_fn(schema: T.StructType, store: TableStore, layer: str, table:
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         info = store.commit_info(layer, table)
-        if applied(info, batch_id):
-            return  # replay of an applied batch
+        if applied(info, batch_id):  # replay of an applied batch: the table has it, the stream's state may not
+            batch.write.format("noop").mode("overwrite").save()
+            return
         stamp = F.current_timestamp().cast(T.TimestampNTZType())
         typed = type_rows(batch, schema, stamp).persist()
         # the batch is read several times (touched partitions, merge, mark)
