@@ -313,8 +313,8 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct, out
 
 
-def _pair_batches(it: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
-    units = Units(tokenizers(a_path, b_path), with_text=False)
+def _pair_batches(it: Iterator[pa.RecordBatch], a_path: str, b_path: str, cache_units: int) -> Iterator[pa.RecordBatch]:
+    units = Units(tokenizers(a_path, b_path), cache_units, with_text=False)
     keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
     used = np.zeros(0, np.int64)  # occurrences of each cached unit
 
@@ -386,16 +386,16 @@ class PairCounts(NamedTuple):
         return np.where(same, self.counts[at], 0), same & self.best[at]
 
 
-def _vector_batches(it: Iterator[pa.RecordBatch], perfect: PerfectHash, size: int) -> Iterator[pa.RecordBatch]:
+def _vector_batches(it: Iterator[pa.RecordBatch], perfect: PerfectHash, size: int, block: int) -> Iterator[pa.RecordBatch]:
     vector = np.zeros(size, np.int64)
     for b in it:
         np.add.at(vector, perfect.places(b.column("pair").to_numpy()), b.column("n").to_numpy())
     if vector.any():
-        yield _blocks_of(vector, TaskContext.get().partitionId())
+        yield _blocks_of(vector, TaskContext.get().partitionId(), block)
 
 
-def _blocks_of(vector: np.ndarray, node: int) -> pa.RecordBatch:
-    parts = [vector[i:i + BLOCK].astype("<i8").tobytes() for i in range(0, len(vector), BLOCK)]
+def _blocks_of(vector: np.ndarray, node: int, block: int) -> pa.RecordBatch:
+    parts = [vector[i:i + block].astype("<i8").tobytes() for i in range(0, len(vector), block)]
     return pa.RecordBatch.from_arrays([pa.array([node] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()),
                                        pa.array(parts, pa.binary())], ["node", "block", "counts"])
 
@@ -406,10 +406,10 @@ def _add_up(group: pa.Table) -> pa.Table:
                      "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
 
-def count_pairs(docs: DataFrame, a_path: str, b_path: str) -> PairCounts:
+def count_pairs(docs: DataFrame, a_path: str, b_path: str, cache_units: int = CACHE_UNITS, block: int = BLOCK) -> PairCounts:
     """First pass: exact corpus-wide counts of all linked pairs."""
     part = stored(docs.select("doc_id", "text").mapInArrow(
-        lambda it: _pair_batches(it, a_path, b_path), "pair long, n long"), "alignment-pairs")
+        lambda it: _pair_batches(it, a_path, b_path, cache_units), "pair long, n long"), "alignment-pairs")
     most = tokenizers(a_path, b_path).most_pairs()
     # at most ``most`` rows, whatever the corpus
     keys = part.select("pair").distinct().toPandas()["pair"].to_numpy(np.int64)
@@ -419,14 +419,14 @@ def count_pairs(docs: DataFrame, a_path: str, b_path: str) -> PairCounts:
     by_place = np.zeros(len(keys), np.int64)
     by_place[perfect.places(keys)] = keys
     size, nodes = len(keys), max(1, part.rdd.getNumPartitions())
-    vectors = part.mapInArrow(lambda it: _vector_batches(it, perfect, size), "node long, block long, counts binary")
+    vectors = part.mapInArrow(lambda it: _vector_batches(it, perfect, size, block), "node long, block long, counts binary")
     while nodes > 1:
         nodes = -(-nodes // FAN)
         vectors = vectors.withColumn("node", F.floor(F.col("node") / FAN)).groupBy("node", "block").applyInArrow(
             _add_up, "node long, block long, counts binary")
     counts = np.zeros(size, np.int64)
     for r in vectors.select("block", "counts").collect():  # one vector of ``size`` counts
-        counts[r.block * BLOCK:(r.block + 1) * BLOCK] += np.frombuffer(r.counts, "<i8")
+        counts[r.block * block:(r.block + 1) * block] += np.frombuffer(r.counts, "<i8")
     b_id = by_place & 0xFFFFFFFF
     highest = np.zeros(int(b_id.max(initial=0)) + 1, np.int64)
     np.maximum.at(highest, b_id, counts)
@@ -435,8 +435,9 @@ def count_pairs(docs: DataFrame, a_path: str, b_path: str) -> PairCounts:
 
 # second pass ------------------------------------------------------------------
 
-def _score_batches(it: Iterator[pa.RecordBatch], a_path: str, b_path: str, counts: PairCounts, with_groups: bool) -> Iterator[pa.RecordBatch]:
-    units = Units(tokenizers(a_path, b_path))
+def _score_batches(it: Iterator[pa.RecordBatch], a_path: str, b_path: str, counts: PairCounts, with_groups: bool,
+                   cache_units: int) -> Iterator[pa.RecordBatch]:
+    units = Units(tokenizers(a_path, b_path), cache_units)
     n_best = count_sum = np.zeros(0, np.int64)
     for doc, rows, first, has in _slices(it, units):
         d = units.data
@@ -466,11 +467,12 @@ def _score_batches(it: Iterator[pa.RecordBatch], a_path: str, b_path: str, count
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def align_rows(docs: DataFrame, a_path: str, b_path: str, counts: PairCounts, with_groups: bool = False) -> DataFrame:
+def align_rows(docs: DataFrame, a_path: str, b_path: str, counts: PairCounts, with_groups: bool = False,
+               cache_units: int = CACHE_UNITS) -> DataFrame:
     """Second pass: tokens, groups, links and their counts of each document; with ``with_groups`` also the groups' text."""
     schema = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'long'}" for c in COLUMNS)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda it: _score_batches(it, a_path, b_path, counts, with_groups), schema + ", groups string" * with_groups)
+        lambda it: _score_batches(it, a_path, b_path, counts, with_groups, cache_units), schema + ", groups string" * with_groups)
 
 
 def pair_table(spark, counts: PairCounts) -> DataFrame:

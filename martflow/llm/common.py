@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martflow.session import scratch_dir
@@ -58,7 +58,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """doc_id, y and text of at most ``limit`` labelled documents outside the held-out fold.
 
     Rows are taken in the order of a hash of their id, so the sample does not
-    depend on partitions.  Null or contradicting labels are left out.  With
+    depend on partitions; a repeated id or row does not lengthen it.  Null or contradicting labels are left out.  With
     ``value`` only rows of that label are taken.
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -70,8 +70,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     # Twice the limit is expected below the bound: no task ranks more than that.
     known = known.where(order <= hash_bound(F.lit(limit), F.lit(known.count())))
     ids = known.orderBy(order, "doc_id").limit(limit).select("doc_id", "y")
-    # at most ``limit`` ids
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text")
+    return bounded_rows(docs.select("doc_id", "text"), ids, limit).select("doc_id", "y", "text")
+
+
+def bounded_rows(docs: DataFrame, ids: DataFrame, limit: int, per: str | None = None) -> DataFrame:
+    """Rows of ``docs`` with an id in ``ids``: at most ``limit`` (of each value of ``per``), however often an id stands.
+
+    Rows of one id and text count once; if more are left, a hash of id and text
+    chooses.  ``ids`` must be bounded itself.
+    """
+    row = F.xxhash64("doc_id", "text").alias("__row")
+    seen = docs.join(F.broadcast(ids), "doc_id").select("doc_id", *([per] if per else []), row).distinct()
+    if per:
+        rank = F.row_number().over(Window.partitionBy(per).orderBy("__row", "doc_id"))
+        seen = seen.withColumn("__n", rank).where(F.col("__n") <= limit)
+    else:
+        seen = seen.orderBy("__row", "doc_id").limit(limit)
+    # ``limit`` rows at most (for each value of ``per``)
+    chosen = stored(seen.select("__row").distinct(), "sample-rows")
+    found = docs.withColumn("__row", F.xxhash64("doc_id", "text")).join(F.broadcast(chosen), "__row")
+    return found.join(F.broadcast(ids), "doc_id").dropDuplicates(["__row"]).drop("__row")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:

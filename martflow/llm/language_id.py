@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from martflow.llm import words as W
-from martflow.llm.common import crc32_of_id, hash_bound, stored
+from martflow.llm.common import bounded_rows, crc32_of_id, hash_bound, stored
 
 PER_LANGUAGE = 1_500
 GRAM_BITS = 17
@@ -226,15 +226,14 @@ def fit(docs: DataFrame, folds: int = 3, held: int = 1, per_language: int = PER_
     order = F.xxhash64("doc_id")
     # Twice the limit is expected of each language below its bound: no task ranks more than that.
     rows = stored(known.groupBy("lang").count(), "language-rows")
-    few = known.select("doc_id", "lang").join(rows, "lang").where(order <= hash_bound(F.lit(per_language), F.col("count")))
+    few = known.select("doc_id", "lang").join(rows, "lang").where(order <= hash_bound(F.lit(per_language), F.col("count"))).select("doc_id", "lang").distinct()
     ids = few.withColumn("n", F.row_number().over(
         Window.partitionBy("lang").orderBy(order, "doc_id"))).where(F.col("n") <= per_language)
     ids = stored(ids.select("doc_id", F.col("lang").alias("learned")), "language-sample")
     languages = tuple(sorted(r.learned for r in ids.select("learned").distinct().collect()))
     if not languages:
         return None
-    # per_language ids of each language at most
-    sample = known.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id").where("lang = learned")
+    sample = bounded_rows(known.select("doc_id", "lang", "text"), ids, per_language, "learned").where("lang = learned")
     found = sample.select("lang", "text").mapInArrow(W.released(_count_batches(languages)), "place long, n long")
     total = found.groupBy("place").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(((1 << GRAM_BITS) + len(SCRIPTS)) * len(languages))

@@ -84,3 +84,53 @@ def plain_capacity(weights, shards):
             filled += w
         return used
     return next(c for c in range(max(weights), sum(weights) + 1) if needed(c) <= shards)
+
+
+def plain_alignment(a, b, a_bytes, b_bytes, texts):
+    """Rows of the alignment (n_a, n_b, groups text, links) per text, and the counts of all links."""
+    found, counts = [], {}
+    for text in texts:
+        wanted = (" " + (text or "")).encode()
+        x, y = (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text, num_threads=1)) if text else ([], [])
+        if not text or b"".join(a_bytes[i] for i in x) != wanted or b"".join(b_bytes[i] for i in y) != wanted:
+            found.append((0, 0, "", []))
+            continue
+        ends = [list(itertools.accumulate(len(t[i]) for i in ids)) for t, ids in ((a_bytes, x), (b_bytes, y))]
+        at = [{end: k + 1 for k, end in enumerate(e)} for e in ends]
+        groups, links, i, j = [], [], 0, 0
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            u, v = at[0][end], at[1][end]
+            groups.append(",".join(map(str, x[i:u])) + "|" + ",".join(map(str, y[j:v])))
+            links.append((x[u - 1], y[v - 1]))
+            i, j = u, v
+        for link in links:
+            counts[link] = counts.get(link, 0) + 1
+        found.append((len(x), len(y), ";".join(groups), links))
+    return found, counts
+
+
+def plain_collocations(rows, support, per_language):
+    """Collocations of (lang, text) rows by counting every phrase in a dict."""
+    f, n = {}, {}
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            w = re.findall("[^\x20\x09]+", piece)
+            n[lang] = n.get(lang, 0) + len(w)
+            for k in (1, 2, 3):
+                for i in range(len(w) - k + 1):
+                    key = lang, tuple(w[i:i + k])
+                    f[key] = f.get(key, 0) + 1
+    often = {k: a for k, a in f.items() if a >= support}
+    out = []
+    for (lang, w), a in often.items():
+        if len(w) < 2 or any(len(x) == 3 and g == lang and w in (x[:2], x[1:]) and 2 * b >= a for (g, x), b in often.items() if len(w) == 2):
+            continue
+        cuts = [(1_000_000 * a * a // (f[lang, w[:k]] * f[lang, w[k:]]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        out.append((lang, -score, -a, " ".join(w).encode(), a, f[lang, w[:k]], f[lang, w[k:]], n[lang], score))
+    result = []
+    for lang, group in itertools.groupby(sorted(out), key=lambda r: r[0]):
+        result += [(lang, i, r[3].decode(), *r[4:]) for i, r in enumerate(list(group)[:per_language], 1)]
+    return result
