@@ -224,8 +224,8 @@ def fit(docs: DataFrame, folds: int = 3, held: int = 1, per_language: int = PER_
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                        & (F.pmod(crc32_of_id(), F.lit(folds)) != held))
     order = F.xxhash64("doc_id")
-    # Twice the limit is expected of each language below its bound: no task ranks more than that.
-    rows = stored(known.groupBy("lang").count(), "language-rows")
+    # Twice the limit of ids is expected of each language below its bound: no task ranks more than that.
+    rows = stored(known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("count")), "language-rows")
     few = known.select("doc_id", "lang").join(rows, "lang").where(order <= hash_bound(F.lit(per_language), F.col("count"))).select("doc_id", "lang").distinct()
     ids = few.withColumn("n", F.row_number().over(
         Window.partitionBy("lang").orderBy(order, "doc_id"))).where(F.col("n") <= per_language)

@@ -11,7 +11,7 @@ file``), so a shuffled read seeks any record without reading the others.  The
 checksum is CRC-32, masked as ``rotate right 15, add 0xA282EAD8``.
 
 Files are range partitions of ``doc_id`` in ascending order (null ids first),
-rows of one id in the order of a hash of their text.
+rows of one id in the order of the table.
 A task writes under a name of its own attempt and renames when complete, so a
 repeated or speculative task leaves the same files.  Only one row per file
 (its name and totals) is gathered.
@@ -51,7 +51,7 @@ END_ID = 1
 MASK_DELTA = 0xA282EAD8  # fixed value of the masking rule
 FRAME, CRC, HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<qBBI")
 INDEX = np.dtype([("offset", "<u8"), ("length", "<u8"), ("doc_id", "<i8"), ("start", "<u8")])
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 
 class CorruptRecord(Exception):
@@ -184,9 +184,9 @@ MANIFEST = pa.schema([("part", pa.int32()), ("name", pa.string()), ("records", p
 def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = END_ID) -> tuple[str, DataFrame]:
     """Write all documents in ascending doc_id order; the folder and its manifest (one row per file)."""
     folder = folder or scratch_dir(docs.sparkSession, "token-records")
-    # Rows of one id are ordered by their text; the number of a row splits rows that are all alike.
-    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
-    dealt = dealt.repartitionByRange("doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash").select("doc_id", "text")
+    # Rows of one id stay in the order of the table; their numbers also split an id that has very many.
+    dealt = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    dealt = dealt.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
     done = dealt.mapInArrow(lambda it: _write_part(it, folder, tokenizer_path, end_id),
                             "part int, name string, records long, ids long, bytes long")
     return folder, stored(done, "token-manifest")
