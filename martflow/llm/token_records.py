@@ -99,10 +99,10 @@ class WordEncoder:
         batches = self.plain.encode_batch_fast([" ".join(new[i:i + step]) for i in range(0, len(new), step)],
                                                add_special_tokens=False)
         for i, encoded in enumerate(batches):
-            part, ids = new[i * step:(i + 1) * step], np.array(encoded.ids, np.int64)
-            ends = np.flatnonzero(self.closes[ids]) + 1
+            part, ids = new[i * step:(i + 1) * step], encoded.ids
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
             if len(ends) == len(part):
-                self.pieces.update(zip(part, (x.tolist() for x in np.split(ids, ends[:-1]))))
+                self.pieces.update(zip(part, [ids[a:z] for a, z in zip([0, *ends], ends)]))
             else:  # a piece without a closing token: one by one
                 for p in part:
                     self.pieces[p] = self.plain.encode(p, add_special_tokens=False).ids
