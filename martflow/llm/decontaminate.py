@@ -2,14 +2,15 @@
 
 Words are runs of ASCII letters and digits and of all other non-ASCII code
 points, A-Z lower-cased.  A window is 13 consecutive words of a benchmark
-item (a shorter item is one window).  Every window has an anchor, its longest
-word; a document position is a candidate if its word is an anchor, and is
-verified by comparing the words around it with the window in a broadcast hash
-join.  Texts are scanned once and never shuffled.
+item (a shorter item is one window).  The 64-bit hashes of the windows form
+the hash set; the hash of the words from each position of a document on is
+looked up in it, one probe for each position and window length.  Documents with a found hash are
+read again, and the words at the found places are compared with the window's.
 
-The benchmark does not grow with the corpus.  Its windows are counted first:
-up to ``MAX_WINDOWS`` the anchors are a literal hash set and the windows are
-broadcast; beyond it, words are exploded and joined without any hint.
+The set and the windows are written first, so their size is known when the
+joins are planned: Spark broadcasts them (and the found places) below its
+threshold and shuffles hashes beyond it.  Texts are not shuffled unless the
+found places exceed the threshold.  The plan is the same at every size.
 
 Edge cases: null, empty or word-less texts have no words, no hits and are not
 contaminated; word-less items have no window; equal items all count as hit;
@@ -26,7 +27,6 @@ from martflow.llm.common import drop_rows, stored
 
 WINDOW = 13
 MIN_SHARE = 20  # contaminated: hit words are at least one in MIN_SHARE
-MAX_WINDOWS = 200_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,52 +37,56 @@ def words_of(column):
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(win, anchor, lead, items): distinct windows, their longest word, the words before it, their items."""
+    """(h, win, items): distinct windows, their hash and the items that have them."""
     w = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w")).where(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - F.lit(size - 1)))
     w = w.withColumn("start", F.explode(starts)).select("item", F.slice("w", F.col("start"), F.lit(size)).alias("win"))
-    lengths = F.transform("win", F.length)
-    lead = (F.array_position(lengths, F.array_max(lengths)) - 1).cast("int")
     return (w.groupBy("win").agg(F.array_sort(F.collect_set("item")).alias("items"))
-            .withColumn("lead", lead).withColumn("anchor", F.element_at("win", F.col("lead") + 1)))
+            .withColumn("h", F.xxhash64(F.transform("win", lambda x: F.xxhash64(x)))))
 
 
-def _candidates(docs: DataFrame, found: DataFrame, size: int, small: bool) -> DataFrame:
-    """One row per document and candidate position, or one without a position."""
+def _found_places(docs: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
+    """Every row of ``docs`` (row, doc_id, text_hash, n_words) with its places (at, n, h) whose hash is ``known`` (h, n)."""
+    ids = ["row", "doc_id", "text_hash", "n_words"]
     d = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"),
-                    words_of(F.col("text")).alias("w")).withColumn("n_words", F.size("w").cast("long"))
-    # around: the words that any window with its anchor here can cover
-    from_ = F.greatest(F.lit(0), F.col("at") - F.lit(size - 1))
-    if small:
-        anchors = [r.anchor for r in found.select("anchor").distinct().collect()]
-        places = F.array_compact(F.transform("w", lambda x, i: F.when(x.isin(anchors), i)))
-        around = F.transform(places, lambda i: F.struct(
-            i.alias("at"), F.get("w", i).alias("word"),
-            F.slice("w", F.greatest(F.lit(0), i - F.lit(size - 1)) + 1, F.lit(2 * size - 1)).alias("near")))
-        d = d.select("row", "doc_id", "text_hash", "n_words", F.explode_outer(around).alias("c"))
-        return d.select("row", "doc_id", "text_hash", "n_words", "c.at", "c.word", "c.near")
-    anchors = found.select(F.col("anchor").alias("word"), F.lit(True).alias("hit")).distinct()
-    d = d.select("row", "doc_id", "text_hash", "n_words", "w", F.posexplode_outer("w").alias("at", "word"))
-    d = d.select("row", "doc_id", "text_hash", "n_words", "at", "word", F.slice("w", from_ + 1, F.lit(2 * size - 1)).alias("near"))
-    return d.join(anchors, "word", "left").select("row", "doc_id", "text_hash", "n_words", "at", F.when(F.col("hit"), F.col("word")).alias("word"), "near")
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+                    F.transform(words_of(F.col("text")), lambda x: F.xxhash64(x)).alias("codes"))
+    d = d.withColumn("n_words", F.size("codes").cast("long"))
+
+    def of_size(n: int):
+        return F.transform("codes", lambda _, i: F.when(
+            i + n <= F.size("codes"), F.xxhash64(F.slice("codes", i + 1, F.lit(n)))))
+
+    # a first element without a hash keeps documents without a place
+    hashes = F.concat(F.array(F.lit(None).cast("long")), *(of_size(n) for n in sizes))
+    places = d.select(*ids, F.posexplode(hashes).alias("pos", "h"))
+    found = places.join(known, "h", "left").where((F.col("pos") == 0) | F.col("n").isNotNull())
+    place = F.when(F.col("n").isNotNull(), F.struct(F.pmod(F.col("pos") - 1, F.col("n_words")).cast("int").alias("at"), "n", "h"))
+    return found.groupBy(*ids).agg(F.collect_set(place).alias("places"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """One row per document: n_words, n_hit, n_items, items_sha256, contaminated, and its hit spans.
 
     ``spans`` are (first word, number of words) of verified window occurrences.
     """
     found = stored(windows(benchmark, size), "benchmark-windows")
-    small = found.count() <= max_windows
-    c = _candidates(docs, found, size, small)
-    side = found.select("anchor", "lead", "win", "items")
-    side = F.broadcast(side) if small else side
-    first = F.least(F.col("at"), F.lit(size - 1)) - F.col("lead")  # of the window within near
-    matched = c.join(side, (c.word == side.anchor) & (first >= 0)
-                     & (F.slice("near", F.greatest(F.lit(0), first) + 1, F.size("win")) == F.col("win")), "left")
-    hit = F.when(F.col("win").isNotNull(), F.struct((F.col("at") - F.col("lead")).alias("start"), F.size("win").alias("length")))
-    per = matched.groupBy("row", "doc_id", "text_hash", "n_words").agg(
-        F.array_sort(F.collect_set(hit)).alias("spans"), F.flatten(F.collect_set("items")).alias("all_items"))
+    known = stored(found.select("h", F.size("win").alias("n")).distinct(), "benchmark-hashes")
+    sizes = sorted(r.n for r in known.select("n").distinct().collect())  # ``size`` numbers at most
+    scanned = stored(_found_places(docs, known, sizes), "found-places")
+    asked = stored(scanned.where(F.size("places") > 0).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "places")
+                   .dropDuplicates(["__id", "__hash"]), "places-of-texts")
+    text = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    text = text.join(asked, text.doc_id.eqNullSafe(asked["__id"]) & (text.text_hash == asked["__hash"]))
+    text = text.select("__id", "__hash", "places", words_of(F.col("text")).alias("w"))
+    place = F.explode(F.transform("places", lambda p: F.struct(
+        p.at.alias("start"), p.n.alias("length"), p.h.alias("h"), F.slice("w", p.at + 1, p.n).alias("win"))))
+    place = text.select("__id", "__hash", place.alias("p")).select("__id", "__hash", "p.*")
+    hit = place.join(found, ["h", "win"]).groupBy("__id", "__hash").agg(
+        F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"),
+        F.flatten(F.collect_set("items")).alias("all_items"))
+    per = scanned.drop("places").join(hit, scanned.doc_id.eqNullSafe(hit["__id"]) & (scanned.text_hash == hit["__hash"]), "left")
+    per = per.withColumn("spans", F.coalesce("spans", F.array().cast(hit.schema["spans"].dataType))).withColumn(
+        "all_items", F.coalesce("all_items", F.array().cast("array<string>")))
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda a, s: F.struct(
@@ -109,10 +113,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
     # each piece is a word with what stands before it; a tail without a word is the last piece
     pieces = F.regexp_extract_all("text", F.lit(r"[^0-9A-Za-z\x80-\x{10FFFF}]*[0-9A-Za-z\x80-\x{10FFFF}]+|[^0-9A-Za-z\x80-\x{10FFFF}]+$"), F.lit(0))
     hit = F.flatten(F.transform("__spans", lambda s: F.sequence(s.start, s.start + s.length - 1)))
-    kept = F.array_join(F.filter("__pieces", lambda _, i: ~F.array_contains("__places", i)), "")
+    # hit words in order between two ends: what stands between neighbours is kept
+    ends = F.concat(F.array(F.lit(-1)), F.array_sort(F.array_distinct("__places")), F.array(F.size("__pieces")))
+    runs = F.transform(F.slice("__ends", F.lit(2), F.size("__ends") - 1), lambda end, i: F.slice(
+        "__pieces", F.get("__ends", i) + 2, end - F.get("__ends", i) - 1))
+    kept = F.array_join(F.flatten(runs), "")
     d = docs.withColumn("__hash", F.xxhash64("text"))
     d = d.join(found, d.doc_id.eqNullSafe(found["__id"]) & (d["__hash"] == found["__hit"]), "left")
-    d = d.withColumn("__pieces", pieces).withColumn("__places", hit)
+    d = d.withColumn("__pieces", pieces).withColumn("__places", hit).withColumn("__ends", ends)
     return d.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
 
 

@@ -366,16 +366,15 @@ ITEMS = [(1, "one two three four five six seven eight nine ten eleven twelve thi
 PASSAGE = "One, two three four five six seven eight nine ten eleven twelve thirteen fourteen."
 
 
-@pytest.mark.parametrize("limit", [decontaminate.MAX_WINDOWS, 0])
-def test_contamination_equals_brute_force(spark, empty, limit):
+def test_contamination_equals_brute_force(spark, empty):
     docs = EDGE + [(20, "a short item here " + "filler words " * 10), (21, PASSAGE + " and more"), (22, "x " * 600 + PASSAGE),
                    (23, "the " * 40), (24, "ten eleven twelve thirteen fourteen"), (25, PASSAGE + " " + PASSAGE), (26, "é É café")]
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in ITEMS], "item_id long, text string, doc_id string")
-    rows = decontaminate.contamination(frame(spark, docs), benchmark, max_windows=limit)
+    rows = decontaminate.contamination(frame(spark, docs), benchmark)
     got = [(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows.collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, plain_contamination(docs, ITEMS)))
-    assert decontaminate.contamination(empty, benchmark, max_windows=limit).count() == 0
-    assert {r.n_hit for r in decontaminate.contamination(frame(spark, docs), benchmark.where("false"), max_windows=limit).collect()} == {0}
+    assert decontaminate.contamination(empty, benchmark).count() == 0
+    assert {r.n_hit for r in decontaminate.contamination(frame(spark, docs), benchmark.where("false")).collect()} == {0}
 
 
 def test_decontamination_takes_effect(spark):
@@ -387,6 +386,24 @@ def test_decontamination_takes_effect(spark):
     assert cut[2] == "clean" and cut[4] == "start. end." and cut[1] == "." and cut[None] is None
 
 
+def test_contamination_of_repeated_rows_and_long_texts(spark):
+    """A benchmark of one common word, a text that is hit everywhere, repeated rows, one plan with and without broadcasts."""
+    items = [(1, "the " * 13), (2, ITEMS[0][1])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(1, "the " * 20_000 + "end"), (1, "the " * 20_000 + "end"), (None, PASSAGE), (None, PASSAGE), (None, "the " * 12), (2, "w " * 9_000 + PASSAGE)]
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted(map(repr, plain_contamination(docs, items)))
+    try:
+        for threshold in (limit, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            rows = decontaminate.contamination(frame(spark, docs), benchmark).collect()
+            assert sorted(repr((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)) for r in rows) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    cut = [r.text for r in decontaminate.remove_spans(frame(spark, docs), benchmark).collect()]
+    assert sorted(cut) == sorted([" end", " end", ".", ".", "the " * 12, "w " * 8_999 + "w."])
+
+
 # 7: tool calls -----------------------------------------------------------------------------
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments string, after array<string>, status string"
