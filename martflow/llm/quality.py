@@ -4,7 +4,9 @@ A text is cut into pieces of ``PIECE`` bytes and every piece is compressed
 twice, with a dictionary trained on good and one trained on bad labelled text.
 The normalised difference of the summed sizes, (bad - good) / (bad + good),
 and the ratio of compressed to raw size (text that repeats itself gives the
-difference little to measure) are calibrated by a logistic curve.
+difference little to measure) are calibrated by a logistic curve.  The ratio
+departs from the plain method, as the difference alone is right on 98.2 % of
+6,948 held-out rows and finds 88 % of the bad ones (see the README).
 
 Fitting uses a bounded sample: ``PER_CLASS`` labelled documents of each class,
 half for the dictionaries (``SNIPPETS`` snippets of a class, up to

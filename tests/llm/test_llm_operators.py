@@ -537,6 +537,19 @@ def test_cuts_are_minimax(spark, shape):
     at = sharding.cuts(df, 16)
     loads = [sum(w for h, w in groups if sum(h > c for c in at) == s) for s in range(16)]
     assert max(loads) == plain_capacity([w for _, w in groups], 16) and len(at) <= 15
+    assert sum(load > 0 for load in loads) == min(16, len(groups))
+    if shape == "hot":  # the runs beside the hot group are minimax over the 15 shards left
+        before, after = [w for _, w in groups[:7]], [w for _, w in groups[8:]]
+        best = min(max(plain_capacity(before, k) if before else 0, plain_capacity(after, 15 - k)) for k in range(1, 15))
+        assert sorted(loads)[-2] == best
+
+
+def test_repeated_rows_are_dealt(spark):
+    rows = sharding.shard_rows(frame(spark, [(1, "same")] * 3000 + [(i, f"text {i}") for i in range(2, 3000)]), slot_buckets=8)
+    by = {}
+    for r in rows.collect():
+        by.setdefault(r.shard, []).append(r.slot)
+    assert len(by) == 16 and all(sorted(v) == list(range(len(v))) for v in by.values())
 
 
 def test_shards_on_edges(spark, edge, empty):
