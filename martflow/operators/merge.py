@@ -8,7 +8,9 @@
                    rows vanish); ``late_policy="merge"`` upserts whenever the
                    incoming version is newer than the stored one *for that key*.
 ``align_columns``  schema evolution: new incoming columns are appended, columns
-                   missing on one side become NULL, nothing is dropped.
+                   missing on one side become NULL, nothing is dropped.  A
+                   column of two types takes the smallest type that holds every
+                   value of both (``wider``); without one the load is refused.
 
 The upsert is one full join of target and batch on the key.  The target is only read, never written
 in place; the caller writes the result as a new table version.
@@ -20,21 +22,63 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martflow.operators.clean import high_water_mark, newer_than, ts_literal
 from martflow.operators.dedupe import latest_per_key
 
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DIGITS = (3, 5, 10, 19)  # decimal digits that hold every value of the integer type
+
+
+def _decimal_of(t: T.DataType) -> T.DecimalType | None:
+    if isinstance(t, _INTEGERS):
+        return T.DecimalType(_DIGITS[_INTEGERS.index(type(t))], 0)
+    return t if isinstance(t, T.DecimalType) else None
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The smallest type that holds every value of ``a`` and of ``b`` unchanged; None if there is none.
+
+    Integers grow to longer integers or to decimals, decimals in digits before
+    and after the point (38 at most), float to double, integers of up to 32
+    bits to double, dates to either timestamp.  Text never mixes with another type.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, _INTEGERS) and isinstance(b, _INTEGERS):
+        return max(a, b, key=lambda t: _INTEGERS.index(type(t)))
+    da, db = _decimal_of(a), _decimal_of(b)
+    if da and db:
+        scale = max(da.scale, db.scale)
+        digits = max(da.precision - da.scale, db.precision - db.scale) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else None
+    for x, y in ((a, b), (b, a)):
+        if isinstance(y, T.DoubleType) and isinstance(x, (T.FloatType, *_INTEGERS[:3])):
+            return y
+        if isinstance(y, T.FloatType) and isinstance(x, _INTEGERS[:2]):
+            return y
+        if isinstance(x, T.DateType) and isinstance(y, (T.TimestampType, T.TimestampNTZType)):
+            return y
+    return None
+
+
 def align_columns(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Give both frames the same columns: existing order first, new columns appended."""
+    """Give both frames the same columns and types: existing order first, new columns appended."""
     cols = list(existing.columns) + [c for c in incoming.columns if c not in existing.columns]
-    types = {f.name: f.dataType for f in incoming.schema.fields}
-    types.update({f.name: f.dataType for f in existing.schema.fields})
-
-    def fill(df: DataFrame) -> DataFrame:
-        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c)
+    old, new = ({f.name: f.dataType for f in df.schema.fields} for df in (existing, incoming))
+    types = {c: wider(old.get(c, T.NullType()), new.get(c, T.NullType())) for c in cols}
+    refused = [f"{c}: {old[c].simpleString()} and {new[c].simpleString()}" for c in cols if types[c] is None]
+    if refused:
+        raise TypeError(f"no type holds both sides of {', '.join(refused)}")
+
+    def fill(df: DataFrame, has: dict[str, T.DataType]) -> DataFrame:
+        return df.select(*[F.col(c) if has.get(c) == types[c] else (F.col(c) if c in has else F.lit(None)).cast(types[c]).alias(c)
                            for c in cols])
-    return fill(existing), fill(incoming)
+    return fill(existing, old), fill(incoming, new)
 
 
 def union_evolving(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -93,6 +93,16 @@ def evolve_append_columns(w: Warehouse) -> DataFrame:
     return merge.merge_upsert(existing, incoming, ["order_id"], late_policy="merge", dedupe=False)
 
 
+def evolve_widen_types(w: Warehouse) -> DataFrame:
+    """The first load was stored with narrower types: store as int, totals of ten digits, days instead of times."""
+    existing = silver.fact_orders(load1(w.stg_orders))
+    existing = (existing.withColumn("store_id", F.col("store_id").cast("int"))
+                .withColumn("total_amount", F.col("total_amount").cast("decimal(10,2)"))
+                .withColumn("created_at", F.col("created_at").cast("date")))
+    incoming = silver.fact_orders(w.stg_orders)
+    return merge.merge_upsert(existing, incoming, ["order_id"], late_policy="merge", dedupe=False)
+
+
 # --- history ---------------------------------------------------------------
 
 def scd2_customers(w: Warehouse) -> DataFrame:
@@ -172,6 +182,7 @@ SCENARIOS = {
     "upsert_orders": upsert_orders,
     "upsert_orders_drop_late": upsert_orders_drop_late,
     "evolve_append_columns": evolve_append_columns,
+    "evolve_widen_types": evolve_widen_types,
     "scd2_customers": scd2_customers,
     "scd2_products": scd2_products,
     "scd2_stores": scd2_stores,
