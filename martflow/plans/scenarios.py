@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from martflow.operators import history, merge, quality
 from martflow.operators.clean import clamp, high_water_mark, ts_literal
 from martflow.operators.dedupe import latest_per_key, versions_per_key
-from martflow.plans import silver
+from martflow.plans import gold, silver
 from martflow.plans.warehouse import Warehouse
 from martflow.session import cut_lineage
+from martflow.sources.bucketed import write_bucketed
 
 # Fixed values of the scenarios.
 LATE_PAYMENT_TYPE = "5-LOW"
@@ -103,6 +104,15 @@ def evolve_widen_types(w: Warehouse) -> DataFrame:
     return merge.merge_upsert(existing, incoming, ["order_id"], late_policy="merge", dedupe=False)
 
 
+# --- co-partitioned facts -----------------------------------------------------
+
+def copartitioned_fct_sales(w: Warehouse) -> DataFrame:
+    """The order mart over both facts stored in buckets of order_id: no exchange between their scans and the join."""
+    orders = write_bucketed(w.fact_orders, ["order_id"], "fact_orders")
+    items = write_bucketed(w.fact_orderitems, ["order_id"], "fact_orderitems")
+    return gold.fct_sales(orders, items, w.dim_customer, w.dim_store)
+
+
 # --- history ---------------------------------------------------------------
 
 def scd2_customers(w: Warehouse) -> DataFrame:
@@ -183,6 +193,7 @@ SCENARIOS = {
     "upsert_orders_drop_late": upsert_orders_drop_late,
     "evolve_append_columns": evolve_append_columns,
     "evolve_widen_types": evolve_widen_types,
+    "copartitioned_fct_sales": copartitioned_fct_sales,
     "scd2_customers": scd2_customers,
     "scd2_products": scd2_products,
     "scd2_stores": scd2_stores,
