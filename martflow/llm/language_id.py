@@ -39,7 +39,6 @@ PER_LANGUAGE = 1_500
 GRAM_BITS = 17
 SMOOTHING = 0.5
 SWITCH_PENALTY = 8.0
-OTHER_SCRIPT = -6.0  # score of a language that does not use the word's script
 SCRIPT_SHARE = 0.01  # of a language's words, for it to be said to use a script
 UNKNOWN = "und"
 SLICE = 2 << 20  # bytes of text labelled at once
@@ -115,7 +114,7 @@ def word_scores(raw: np.ndarray, w: W.Words, model: Model) -> tuple[np.ndarray,
     lettered = script != SCRIPTS.index("none")
     uses = model.uses[script]
     known = uses.any(axis=1) & lettered
-    scores[known[:, None] & ~uses] += OTHER_SCRIPT
+    scores[known[:, None] & ~uses] = -np.inf  # only languages of the word's script are candidates
     return scores, known, lettered
 
 

@@ -219,3 +219,11 @@ def test_token_records_of_one_hot_id(spark, scratch, word_file, library):
     starts = sorted((r.start, len(r.ids)) for r in found)
     assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
     assert max(r.records for r in manifest.collect()) < 500  # no file takes the whole hot id
+
+
+def test_script_narrows_the_candidate_languages():
+    """A word is never labelled with a language that does not use its script, whatever its neighbours."""
+    scores = np.array([[9.0, 0.0], [-np.inf, -50.0], [9.0, 0.0]], np.float32)
+    assert language_id.viterbi(scores, np.array([3])).tolist() == [0, 1, 0]
+    scores = np.array([[-np.inf, 1.0], [2.0, -np.inf], [-np.inf, 1.0]], np.float32)
+    assert language_id.viterbi(scores, np.array([1, 2])).tolist() == [1, 0, 1]
