@@ -49,25 +49,62 @@ def _earliest(rows: DataFrame, columns: list[str], count: str) -> DataFrame:
     return best.select(*KEY, *(F.col(f"r.{c}").alias(c) for c in columns), count)
 
 
+def _settle(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``nodes`` (conv_id, call_id, rank, size, cyclic) with final ranks and flags; ``edges`` are (conv_id, call_id, dep, steps).
+
+    In each round an edge takes the rank of its dependency along if at most
+    one edge leaves that, and then jumps to where this edge leads (or ends if
+    there is none), so a chain halves.  An edge back to its own call, or of as
+    many steps as the conversation has calls, lies on or leads to a cycle; so
+    does every edge that is left when none can move.
+    """
+    while not edges.isEmpty():
+        out = edges.groupBy(*KEY).agg(F.count("*").alias("degree"), F.max(F.struct("dep", "steps")).alias("next"))
+        ahead = nodes.join(out, KEY, "left").select(
+            "conv_id", F.col("call_id").alias("dep"), F.col("rank").alias("of"), F.col("cyclic").alias("stuck"),
+            F.coalesce("degree", F.lit(0)).alias("degree"), "next")
+        sizes = nodes.select(*KEY, "size")
+        met = edges.join(ahead, ["conv_id", "dep"]).join(sizes, KEY)
+        free = F.col("degree") <= 1
+        target = F.when(F.col("degree") == 1, F.col("next.dep")).when(F.col("degree") > 1, F.col("dep"))
+        steps = F.when(F.col("degree") == 1, F.col("steps") + F.col("next.steps")).otherwise(F.col("steps"))
+        met = met.select(*KEY, F.when(free, F.struct(F.col("of.turn").alias("turn"), (F.col("of.steps") + F.col("steps")).alias("steps"))
+                                      ).alias("least"), target.alias("dep"), steps.alias("steps"), "size", "stuck", free.alias("moved"))
+        closed = F.col("stuck") | F.coalesce(F.col("dep") == F.col("call_id"), F.lit(False)) | (F.col("steps") >= F.col("size"))
+        met = stored(met.withColumn("closed", closed), "call-steps")
+        if met.where("moved OR closed").isEmpty():
+            met = met.withColumn("closed", F.lit(True))
+        found = met.groupBy(*KEY).agg(F.max("least").alias("least"), F.max("closed").alias("closed"))
+        after = nodes.join(found, KEY, "left")
+        higher = F.coalesce(F.col("least") > F.col("rank"), F.lit(False))
+        nodes = stored(after.select(*KEY, F.when(higher, F.col("least")).otherwise(F.col("rank")).alias("rank"), "size",
+                                    (F.col("cyclic") | F.coalesce("closed", F.lit(False))).alias("cyclic")), "call-ranks")
+        edges = (met.where("dep is not null").groupBy(*KEY, "dep").agg(F.max("steps").alias("steps"))
+                 .join(nodes.where("cyclic").select(*KEY), KEY, "left_anti"))
+    return nodes
+
+
 def ranks(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """conv_id, call_id, rank (turn, steps), cyclic; ``edges`` are (conv_id, call_id, dep) of known calls."""
+    """conv_id, call_id, rank (turn, steps), cyclic; ``edges`` are (conv_id, call_id, dep) of known calls.
+
+    Only calls between the first call that waits for a later turn (or its own)
+    and the latest turn waited for can move or lie on a cycle.  Calls after
+    them keep their place, and matter only if they depend on a cycle.
+    """
+    at = F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 63)))
+    own = calls.select(*KEY, F.struct("turn", F.lit(0).alias("steps")).alias("rank"), at.alias("at"))
+    pairs = edges.join(own.select(*KEY, "at"), KEY).join(
+        own.select("conv_id", F.col("call_id").alias("dep"), F.col("at").alias("dep_at")), ["conv_id", "dep"])
+    span = pairs.where("dep_at >= at").groupBy("conv_id").agg(F.min("at").alias("low"), F.max("dep_at").alias("high"))
     sizes = calls.groupBy("conv_id").agg(F.count("*").alias("size"))
-    own = calls.select(*KEY, F.struct("turn", F.lit(0).alias("steps")).alias("rank")).join(sizes, "conv_id")
-    state = stored(own.withColumn("cyclic", F.lit(False)), "call-ranks")
-    while True:
-        dep = state.select("conv_id", F.col("call_id").alias("dep"), F.col("rank").alias("of"), F.col("cyclic").alias("stuck"))
-        pushed = edges.join(dep, ["conv_id", "dep"]).groupBy(*KEY).agg(
-            F.max(F.struct(F.col("of.turn").alias("turn"), (F.col("of.steps") + 1).alias("steps"))).alias("least"),
-            F.max("stuck").alias("stuck"))
-        after = state.join(pushed, KEY, "left")
-        later = ~F.col("cyclic") & F.coalesce(F.col("least") > F.col("rank"), F.lit(False))
-        # a call moves at most once behind each other call, unless it waits for itself
-        cyclic = F.col("cyclic") | F.coalesce("stuck", F.lit(False)) | (later & (F.col("least.steps") >= F.col("size")))
-        after = stored(after.select(*KEY, F.when(later, F.col("least")).otherwise(F.col("rank")).alias("rank"), "size",
-                                    cyclic.alias("cyclic"), (later | (cyclic & ~F.col("cyclic"))).alias("moved")), "call-ranks")
-        if after.where("moved").isEmpty():
-            return after.select(*KEY, F.when(~F.col("cyclic"), F.col("rank")).alias("rank"), "cyclic")
-        state = after.drop("moved")
+    nodes = stored(own.join(sizes, "conv_id").select(*KEY, "rank", "size", F.lit(False).alias("cyclic")), "call-ranks")
+    pairs = stored(pairs.join(span, "conv_id").where("at >= low").select(
+        *KEY, "dep", F.lit(1).alias("steps"), (F.col("at") > F.col("high")).alias("after"), (F.col("dep_at") < F.col("low")).alias("before")),
+        "call-edges")
+    nodes = _settle(nodes, pairs.where("NOT after AND NOT before").drop("after", "before"))
+    rings = nodes.where("cyclic").select("conv_id").distinct()
+    late = pairs.where("after AND NOT before").join(rings, "conv_id", "left_semi").drop("after", "before")
+    return _settle(nodes, late).select(*KEY, F.when(~F.col("cyclic"), F.col("rank")).alias("rank"), "cyclic")
 
 
 def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:

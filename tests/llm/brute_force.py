@@ -134,3 +134,26 @@ def plain_collocations(rows, support, per_language):
     for lang, group in itertools.groupby(sorted(out), key=lambda r: r[0]):
         result += [(lang, i, r[3].decode(), *r[4:]) for i, r in enumerate(list(group)[:per_language], 1)]
     return result
+
+
+def plain_call_ranks(calls: list[tuple]) -> dict[tuple, tuple | None]:
+    """(turn, steps) of each (conv_id, call_id) by recursion over (conv_id, turn, call_id, name, arguments, after); None behind a cycle."""
+    by = {(c[0], c[2]): c for c in calls}
+    deps = {k: [(k[0], d) for d in (c[5] or []) if (k[0], d) in by] for k, c in by.items()}
+    reach = {}
+    for v in by:
+        seen, todo = set(), list(deps[v])
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += deps[x]
+        reach[v] = seen
+    ring = {v for v in by if v in reach[v]}
+    known: dict[tuple, tuple | None] = {v: None for v in by if v in ring or reach[v] & ring}
+
+    def rank(v):
+        if v not in known:
+            known[v] = max([(by[v][1], 0)] + [(t, steps + 1) for t, steps in map(rank, deps[v])])
+        return known[v]
+    return {v: rank(v) for v in by}
