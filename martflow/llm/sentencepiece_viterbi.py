@@ -6,7 +6,9 @@ by white space reaches across.  The distinct parts of a batch are searched in
 groups of equal length, which advance together: the hashes of all substrings
 of one length are probed in the sorted keys of the pieces of that length, and
 for every end place the best predecessor of all parts is one vectorised
-maximum, kept as a backpointer.  A task caches parts in a table of bounded
+maximum, kept as a backpointer.  A part above 4,096 code points is searched
+alone in blocks, which keep the scores within reach of a piece and one byte for
+each code point.  A task caches parts in a table of bounded
 size and frees it when it ends, as a worker goes on to other operators.
 
 The result is the segmentation with the largest sum of piece scores (of equal
@@ -40,6 +42,7 @@ UNKNOWN_PENALTY = 10.0  # below the smallest score, fixed by SentencePiece
 CACHE_WORDS = 200_000
 SLICE = 1 << 20  # bytes of text encoded at once
 GROUP_CHARS = 1 << 15
+LONG_PART = 1 << 12  # code points from which a part is searched alone, block by block
 PREFIX = np.uint64(44)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 # Words end at a space only; other white space is part of them.
@@ -146,17 +149,81 @@ class Pieces:
         r, j = np.nonzero(used)
         return piece[r, j, back[r, j]], used.sum(axis=1)
 
+    def viterbi_long(self, chars: np.ndarray, block: int = GROUP_CHARS) -> np.ndarray:
+        """The same for one long row: scores of the last places only, one byte for each backpointer."""
+        n = len(chars)
+        reach = min(self.longest, n)
+        back = np.zeros(n + 1, np.uint8)  # code points of the best last piece that ends here
+        tail = [0.0]  # best sums of the places up to ``low``, as many as a piece can reach
+        for low in range(0, n, block):
+            high = min(n, low + block)
+            base = max(0, low + 1 - reach)
+            near = chars[base:high].astype(np.uint64) + np.uint64(1)
+            hashes = np.zeros(len(near) + 1, np.uint64)
+            ends, sizes, values = [], [], []
+            for k in range(1, reach + 1):
+                hashes = hashes[:-1] * _BASE + near[k - 1:]  # of the k code points from each place on
+                if k in self.keys:
+                    at, value, _ = self._probe(W.mix(hashes), k)
+                    end = at + base + k
+                    new = end > low
+                    end, value = end[new], value[new]
+                else:
+                    end, value = np.zeros(0, np.int64), np.zeros(0)
+                if k == 1:
+                    unknown = np.setdiff1d(np.arange(low + 1, high + 1), end)
+                    end, value = np.concatenate([end, unknown]), np.concatenate([value, np.full(len(unknown), self.unknown)])
+                ends.append(end)
+                sizes.append(np.full(len(end), k))
+                values.append(value)
+            ends, sizes, values = (np.concatenate(x) for x in (ends, sizes, values))
+            order = np.lexsort((-sizes, ends))  # longest first: it wins ties
+            first = np.searchsorted(ends[order], np.arange(low + 1, high + 2)).tolist()
+            sizes, values = sizes[order].tolist(), values[order].tolist()
+            best, chosen = tail, []
+            for a, z in zip(first, first[1:]):
+                top, size = -np.inf, 1
+                for i in range(a, z):
+                    total = best[-sizes[i]] + values[i]
+                    if total > top:
+                        top, size = total, sizes[i]
+                best.append(top)
+                chosen.append(size)
+            back[low + 1:high + 1] = chosen
+            tail = best[-reach:]
+        steps, cut, j = back.tobytes(), np.zeros(n + 1, bool), n
+        while j:
+            cut[j] = True
+            j -= steps[j]
+        found = []
+        for low in range(0, n, block):
+            end = np.flatnonzero(cut[low + 1:low + 1 + block]) + low + 1
+            size = back[end].astype(np.int64)
+            ids = -1 - chars[end - 1].astype(np.int64)  # unknown, unless found below
+            for k in np.unique(size).tolist():
+                if k in self.keys:
+                    rows = np.flatnonzero(size == k)
+                    spans = chars[(end[rows] - k)[:, None] + np.arange(k)]
+                    at, _, known = self._probe(W.mix(_prefix_hashes(spans)[:, -1]), k)
+                    ids[rows[at]] = known
+            found.append(ids.astype(np.int32))
+        return np.concatenate(found)
+
     def _search(self, parts: list[str]) -> None:
         """Put the ids of distinct parts into ``known``; parts of equal length advance together."""
         by_length: dict[int, list[str]] = {}
         for part in parts:
             by_length.setdefault(len(part), []).append(part)
         for length, members in by_length.items():
-            step = max(1, GROUP_CHARS // length)
+            step = 1 if length > LONG_PART else max(1, GROUP_CHARS // length)
             for low in range(0, len(members), step):
                 group = members[low:low + step]
                 chars = np.frombuffer("".join(group).encode("utf-32-le"), np.uint32).reshape(len(group), length)
-                ids, sizes = self.viterbi(chars)
+                if length > LONG_PART:
+                    ids = self.viterbi_long(chars[0])
+                    sizes = np.array([len(ids)])
+                else:
+                    ids, sizes = self.viterbi(chars)
                 ends, ids = np.cumsum(sizes).tolist(), ids.astype(np.int32)
                 known = (ids < 0).cumsum()
                 for part, a, z in zip(group, [0, *ends], ends):

@@ -14,11 +14,11 @@ import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brute_force import plain_best, plain_capacity, plain_components, plain_contamination, plain_fingerprint
+from brute_force import plain_best, plain_call_ranks, plain_capacity, plain_components, plain_contamination, plain_fingerprint
 
 from martflow.llm import (decontaminate, language_id, near_dedup, quality, queries, sentencepiece_viterbi, sharding,
                           simhash, token_records, tool_calls, toxicity, words)
-from martflow.llm.common import table
+from martflow.llm.common import stored, table
 
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, "
         "score string, ids string, fp string, h string, shard string, row string, w string, part string, y string")
@@ -447,6 +447,33 @@ def test_order_puts_dependencies_first(spark):
     assert all(at[d] < at[c[2]] for c in calls for d in c[5])
 
 
+def test_order_equals_plain_recursion_on_rings_and_branches(spark):
+    rng = random.Random(5)
+    calls = []
+    for conv in range(40):
+        n = rng.randint(1, 14)
+        for t in range(n):
+            turn = t if conv % 3 else rng.randint(0, 3)  # turns may tie
+            after = [f"c{rng.randrange(n)}" if rng.random() < .25 else f"c{max(0, t - rng.randint(1, 3))}" for _ in range(rng.choice([0, 1, 1, 2]))]
+            calls.append((conv, turn, f"c{t}", "search", "{}", after))
+    got = {(r.conv_id, r.call_id): None if r.status == "cycle" else (r.order_turn, r.order_steps) for r in linked(spark, calls, [])}
+    want = plain_call_ranks(calls)
+    assert got == want and None in want.values() and len({r for r in want.values()}) > 20
+
+
+def test_long_chains_and_rings_take_few_rounds(spark, monkeypatch):
+    calls = [(1, t, f"c{t}", "search", "{}", [f"c{(t + 1) % 1000}"]) for t in range(1000)]  # a ring
+    calls += [(2, t, f"c{t}", "search", "{}", [f"c{t + 1}"]) for t in range(1000)]  # a chain
+    calls += [(3, t, f"c{t}", "search", "{}", [f"c{t - 1}"] + [f"c{t + 1}"] * (t == 500)) for t in range(1000)]  # a small ring, and all behind it
+    written = []
+    monkeypatch.setattr(tool_calls, "stored", lambda df, purpose: written.append(purpose) or stored(df, purpose))
+    rows = {(r.conv_id, r.call_id): r for r in linked(spark, calls, [])}
+    assert written.count("call-steps") <= 25
+    assert all(rows[1, f"c{t}"].status == "cycle" for t in range(1000))
+    assert all((rows[2, f"c{t}"].order_turn, rows[2, f"c{t}"].order_steps) == (999, 999 - t) for t in range(1000))
+    assert [rows[3, f"c{t}"].status == "cycle" for t in range(1000)] == [t >= 500 for t in range(1000)]
+
+
 # 9: SentencePiece -----------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -510,6 +537,29 @@ def test_viterbi_is_never_worse_than_the_library(pieces, sample):
     assert equal > 0.98 * len(parts)
 
 
+def test_long_parts_block_by_block_equal_the_batched_search(pieces):
+    rng = random.Random(1)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "eth▁nao日😀é.\n", "x"):
+        for n in (1, 2, 15, 16, 17, 100, 700):
+            chars = np.frombuffer("".join(rng.choices(letters, k=n)).encode("utf-32-le"), np.uint32)
+            ids, _ = pieces.viterbi(chars.reshape(1, -1))
+            for block in (1, 7, 64, 1 << 15):
+                assert pieces.viterbi_long(chars, block).tolist() == ids.tolist()
+
+
+def test_two_million_letters_without_a_space_stay_small(pieces):
+    import tracemalloc
+    text = "".join(random.Random(2).choices("abcdefghijklmnopqrstuvwxyz", k=1 << 21))
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    tracemalloc.start()
+    try:
+        ids = pieces.viterbi_long(chars)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert pieces.decode(ids.tolist()) == text and peak < 64 << 20
+
+
 def test_sentencepiece_round_trip(spark, edge, empty, pieces, sample):
     path = public_tokenizers.path("piece_bpe_32k.model")
     odd = ["  two  blanks ", "\n\nlines\t", "a\x00b", "é é", "🙂🙂", " "]
