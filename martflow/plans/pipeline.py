@@ -258,27 +258,40 @@ def load_staging_from_landing(spark, landing_root: str, store: TableStore, schem
                               checkpoint_root: str, max_files_per_trigger: int | None = None) -> dict:
     """The two landing entry points of the original:
 
-    * customers / products / stores: batch re-scan of the prefix, rows newer
-      than the staging table's high-water mark appended (a file overwritten in
-      place is picked up, which a file stream would miss);
+    * customers / products / stores: files that are new or overwritten in place
+      since the last load (a file stream would miss the latter), of these the
+      rows newer than the staging table's high-water mark appended;
     * orders / order items: file streams, each new file loaded exactly once.
 
-    Malformed rows go to ``<table>_quarantine``: of the re-scanned prefixes it
+    Malformed rows go to ``<table>_quarantine``: of the dimension prefixes it
     holds what is malformed now, of the streams each malformed row once.  A
     prefix without a file yet leaves an empty table.
     """
+    from martflow.sources import ledger
     from martflow.sources.landing import has_files, read_landing
     from martflow.streaming.ingest import stream_to_table
     out = {}
     for e in ("customers", "products", "stores"):
         name = f"stg_{e}"
         out[name] = store.ensure("staging", name, schemas[e])
-        if not has_files(spark, f"{landing_root}/{e}"):
+        prefix, taken = f"{landing_root}/{e}", f"{checkpoint_root}/{name}-files"
+        if not has_files(spark, prefix):
             continue
-        good, bad = read_landing(spark, f"{landing_root}/{e}", schemas[e])
-        fresh = newer_than(good, store.high_water_mark("staging", name))
-        store.replace("staging", f"{name}_quarantine", bad)
-        out[name] = store.append("staging", name, fresh, hwm_col="created_at")
+        files = ledger.not_taken(spark, prefix, taken)
+        fresh = ledger.paths(files)
+        bad = store.read("staging", f"{name}_quarantine")
+        if bad is not None:  # rows of files that are gone or were overwritten leave
+            kept = ledger.listing(spark, prefix).join(files, "path", "left_anti").select("path")
+            bad = (bad.withColumn("path", ledger.plain_path("source_file")).join(kept, "path", "left_semi").drop("path"))
+        if fresh:
+            good, new_bad = read_landing(spark, fresh, schemas[e])
+            good = newer_than(good, store.high_water_mark("staging", name))
+            out[name] = store.append("staging", name, good, hwm_col="created_at")
+            bad = new_bad if bad is None else bad.unionByName(new_bad)
+        if bad is not None:
+            store.replace("staging", f"{name}_quarantine", bad)
+        if fresh:
+            ledger.record(files, taken)
     for e in ("orders", "orderitems"):
         name = f"stg_{e}"
         out[name] = store.ensure("staging", name, schemas[e])

@@ -424,7 +424,24 @@ def pipeline_quarantine(w: Warehouse) -> DataFrame:
     return bad.select("reason", F.col("order_id").cast("string").alias("order_id"), F.col("product_id").cast("string").alias("product_id"))
 
 
+def stage_file_ledger(w: Warehouse) -> DataFrame:
+    """S9 by files: two loads of a growing customer prefix; the second opens the new files only.
+
+    The first load lacks a third of the customers, so some rows of the second
+    are not newer than the mark and stay out, as the original rule has it.
+    """
+    from martflow.plans.pipeline import load_staging_from_landing
+    root, schema = scratch_dir(w.spark, "landing-grows"), ENTITY_SCHEMAS["customers"]
+    store = TableStore(w.spark, scratch_dir(w.spark, "warehouse"))
+    first = (F.col("created_at") <= ts_literal(SCD2_BATCH_CUTS[0])) & (F.col("customer_id") % 3 != 0)
+    for rows in (w.stg_customers.where(first), w.stg_customers.where(~F.coalesce(first, F.lit(False)))):
+        write_landing(rows, f"{root}/customers", schema, mode="append")
+        load_staging_from_landing(w.spark, root, store, ENTITY_SCHEMAS, checkpoint_root=store.root + "-ckpt")
+    return store.read("staging", "stg_customers").drop("ingestion_ts")
+
+
 SCENARIOS.update({
+    "stage_file_ledger": stage_file_ledger,
     "pipeline_landing_fct_sales": pipeline_landing_fct_sales,
     "landing_orders_quarantine": landing_orders_quarantine,
     "late_orders_dropped": late_orders_dropped,

@@ -110,18 +110,19 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType,
+def read_landing(spark: SparkSession, path: str | list[str], schema: T.StructType,
                  load_stamp=None, multiline: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Batch scan of a landing prefix: (good typed rows with load stamp, quarantine)."""
+    """Batch scan of a landing prefix, or of some of its files: (good typed rows with load stamp, quarantine)."""
     raw = with_source_file(spark.read.schema(raw_schema(schema)).options(**csv_options(multiline)).csv(path))
     return split_good_bad(type_rows(raw, schema, load_stamp), schema)
 
 
-def write_landing(df: DataFrame, path: str, schema: T.StructType, files: int | None = None) -> None:
+def write_landing(df: DataFrame, path: str, schema: T.StructType, files: int | None = None,
+                  mode: str = "errorifexists") -> None:
     """Write entity rows as landing CSV (header, one file per partition)."""
     out = df.select(*[F.col(f.name) for f in schema.fields])
     if files:
         out = out.repartition(files)
-    (out.write.mode("errorifexists").option("header", "true").option("quote", '"')
+    (out.write.mode(mode).option("header", "true").option("quote", '"')
      .option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
      .csv(path))
