@@ -45,3 +45,21 @@ def test_redelivered_rows_stop_at_the_state(spark, scratch):
     # replay from nothing (a lost checkpoint): batches that the table has applied are skipped, the table stays
     run("two")
     assert {r.order_id: r.order_status for r in store.read("core", "fact_orders").collect()} == rows
+
+
+def test_upserts_have_tasks_for_the_batch_and_not_for_the_state(spark, scratch):
+    """A batch with keyed state has a part per shuffle partition; the model and the upsert read it packed by size."""
+    src, store = scratch("landing"), TableStore(spark, scratch("store"))
+    schema, parts = schemas.orders_schema(), []
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{src}/1.csv")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray((HEADER + "\n".join(FIRST) + "\n").encode()))
+    out.close()
+
+    def model(rows):
+        parts.append(rows.rdd.getNumPartitions())
+        return silver.fact_orders(rows)
+
+    stream_upsert(spark, src, schema, store, "core", "fact_orders", ["order_id"], model,
+                  checkpoint=f"{store.root}-ckpt", redelivery="2 days").awaitTermination()
+    assert parts[0] < int(spark.conf.get("spark.sql.shuffle.partitions")) and store.read("core", "fact_orders").count() == 2
