@@ -9,8 +9,10 @@ read again, and the words at the found places are compared with the window's.
 
 The set and the windows are written first, so their size is known when the
 joins are planned: Spark broadcasts them (and the found places) below its
-threshold and shuffles hashes beyond it.  Texts are not shuffled unless the
-found places exceed the threshold.  The plan is the same at every size.
+threshold and shuffles hashes beyond it.  Texts are read again only where the
+hash of a text with found places has the same remainder: these remainders are
+a bounded table that is always broadcast, so a join that exceeds the threshold
+shuffles the texts that may be hit and not all of them.
 
 Edge cases: null, empty or word-less texts have no words, no hits and are not
 contaminated; word-less items have no window; equal items all count as hit;
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from martflow.llm.common import drop_rows, stored
 
 WINDOW = 13
+MARKS = 1 << 20  # remainders of text hashes: the most rows that are broadcast without a threshold
 MIN_SHARE = 20  # contaminated: hit words are at least one in MIN_SHARE
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,7 +78,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     scanned = stored(_found_places(docs, known, sizes), "found-places")
     asked = stored(scanned.where(F.size("places") > 0).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "places")
                    .dropDuplicates(["__id", "__hash"]), "places-of-texts")
+    marks = asked.select(F.pmod("__hash", F.lit(MARKS)).alias("mark")).distinct()
     text = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    text = text.join(F.broadcast(marks), F.pmod("text_hash", F.lit(MARKS)) == F.col("mark"), "left_semi")
     text = text.join(asked, text.doc_id.eqNullSafe(asked["__id"]) & (text.text_hash == asked["__hash"]))
     text = text.select("__id", "__hash", "places", words_of(F.col("text")).alias("w"))
     place = F.explode(F.transform("places", lambda p: F.struct(

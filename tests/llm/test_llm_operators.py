@@ -386,6 +386,21 @@ def test_decontamination_takes_effect(spark):
     assert cut[2] == "clean" and cut[4] == "start. end." and cut[1] == "." and cut[None] is None
 
 
+def test_only_texts_that_may_be_hit_are_shuffled(spark):
+    """Beyond the broadcast threshold the texts are filtered before their exchange."""
+    benchmark = spark.createDataFrame([(1, ITEMS[0][1])], "item_id long, text string")
+    docs = frame(spark, [(1, PASSAGE), (None, PASSAGE), (2, "clean"), (3, None)])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = decontaminate.contamination(docs, benchmark)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "LeftSemi, BuildRight" in plan
+        assert sorted((str(r.doc_id), r.n_hit > 0) for r in rows.collect()) == [("1", True), ("2", False), ("3", False), ("None", True)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_contamination_of_repeated_rows_and_long_texts(spark):
     """A benchmark of one common word, a text that is hit everywhere, repeated rows, one plan with and without broadcasts."""
     items = [(1, "the " * 13), (2, ITEMS[0][1])]
