@@ -392,3 +392,37 @@ def test_second_load_scenarios_have_work_to_do(spark, wh):
     assert {r.table_name: r.late_dropped for r in run("pipeline_late_drop_counts").collect()}["fact_orders"] > 0
     fallen_back = wh.stg_customers.where("last_name = 'CHANGED2' AND first_name IS NULL").select("customer_id")
     assert wh.dim_customer.join(fallen_back, "customer_id").where("last_name = 'CHANGED'").count() > 0
+
+
+def test_upsert_searches_only_partitions_without_incoming_rows(spark, scratch, monkeypatch):
+    """Partitions that receive rows are rewritten anyway; of the others only those with a stored row of an incoming key are."""
+    from martflow.operators.merge import merge_upsert
+    store = TableStore(spark, scratch("store"))
+
+    def rows(*values):
+        return spark.sql("SELECT * FROM VALUES " + ", ".join(f"({k}L, '{v}', TIMESTAMP_NTZ '{at}')" for k, v, at in values)
+                         + " AS t(k, v, created_at)")
+
+    def upsert(batch):
+        store.upsert("core", "t", batch, ["k"], lambda old, new: merge_upsert(old, new, ["k"], dedupe=False), grain="year")
+
+    upsert(rows((1, "a", "2019-01-01"), (2, "b", "2020-01-01"), (3, "c", "2021-01-01"), (4, "d", "2022-01-01")))
+    searched, plain = [], store.read_partitions
+    monkeypatch.setattr(store, "read_partitions", lambda layer, name, parts, *a: searched.append(set(parts)) or plain(layer, name, parts, *a))
+    with monkeypatch.context() as m:
+        m.setattr(store, "read", lambda *a: pytest.fail("the whole table is read"))
+        upsert(rows((2, "moved", "2021-06-01"), (5, "new", "2021-07-01")))
+        assert searched == [{"2019", "2020", "2022"}, {"2020", "2021"}]
+    assert store.commit_info("core", "t")["touched"] == ["2020", "2021"]
+    assert sorted((r.k, r.v) for r in store.read("core", "t").collect()) == [(1, "a"), (2, "moved"), (3, "c"), (4, "d"), (5, "new")]
+
+
+def test_merge_shuffles_a_key_once(spark):
+    from martflow.operators.merge import merge_upsert
+    old = spark.sql("SELECT 1L AS k, TIMESTAMP_NTZ '2020-01-01' AS created_at, 'old' AS v")
+    new = spark.sql("SELECT 'new' AS v, TIMESTAMP_NTZ '2021-01-01' AS created_at, 1L AS k UNION ALL SELECT 'n', NULL, 2L UNION ALL SELECT 'm', NULL, NULL")
+    out = merge_upsert(old, new, ["k"], dedupe=False)
+    assert out.columns == old.columns
+    assert sorted(((r.k, r.v) for r in out.collect()), key=str) == [(1, "new"), (2, "n"), (None, "m")]
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "struct(created_at" in plan and "struct(k" not in plan
