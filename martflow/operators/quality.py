@@ -9,8 +9,11 @@ A check is data (model, kind, columns).  Kinds:
 
 ``summary`` runs a whole suite: all row-wise checks of one table are fused into
 a *single* aggregate pass (conditional sums), every uniqueness check is one
-grouped count with map-side partial aggregation (a hot value costs one row per
-map task) followed by a global count.  ``failures`` returns the offending rows
+grouped count followed by a global count.  A small table is counted with map-side
+partial aggregation; the rows of a large one are dealt by their key to tasks of
+bounded input (:mod:`martflow.functions.partitions`), as keys that are almost all
+different leave nothing to combine: there a value that is repeated very often
+lengthens one task, but takes one entry of its memory.  ``failures`` returns the offending rows
 / values themselves, so a check is also a query.
 """
 
@@ -23,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martflow.functions.partitions import by_key
+
 ROW_KINDS = ("not_null", "non_negative")
 GROUP_KINDS = ("unique", "unique_combination")
 
@@ -175,17 +180,33 @@ def bitmap_duplicates(df: DataFrame, check: Check) -> DataFrame:
     return suspect.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
 
 
+SALT = "_salt"
+
+
+def _null_salt(unique: Check, row_checks: Sequence[Check]) -> list:
+    """One more grouping column for a single key: 0 for a value, a hash of the checked columns for NULL."""
+    checked = sorted({c for ch in row_checks for c in ch.columns if c not in unique.columns})
+    if unique.kind != "unique" or not checked:
+        return []
+    return [F.when(F.col(unique.columns[0]).isNull(), F.xxhash64(*checked)).otherwise(F.lit(0).cast("long")).alias(SALT)]
+
+
 def _one_pass(df: DataFrame, row_checks: Sequence[Check], unique: Check) -> DataFrame:
     """All assertions of a table with one key from a single scan.
 
     Rows are counted per key together with their failed row checks; the global
     sums of these are the row failures, and keys counted more than once the
-    uniqueness failures.  Partial aggregation bounds what a hot key ships.
+    uniqueness failures.  The rows of a large table are dealt by their key first,
+    so the tasks, which keep a count for each key, follow its size.  NULLs need
+    not meet where NULL is no key; a hash of the checked values deals them apart.
     """
     checks = [*row_checks, unique]
-    per_key = df.groupBy(*unique.columns).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *(F.sum(_row_fail(ch).cast("int")).alias(f"_f{i}") for i, ch in enumerate(row_checks)))
+    keys = list(unique.columns)
+    rows = df.select(*keys, *(_row_fail(ch).cast("int").alias(f"_f{i}") for i, ch in enumerate(row_checks)),
+                     *_null_salt(unique, row_checks))
+    keys = [c for c in rows.columns if c in keys or c == SALT]
+    per_key = by_key(rows, *keys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *(F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(row_checks))))
     repeated = F.col("_n") > 1
     if unique.kind == "unique":  # NULL is no value that could repeat
         repeated = repeated & F.col(unique.columns[0]).isNotNull()
