@@ -108,7 +108,7 @@ def _duplicates(df: DataFrame, check: Check, scope: DataFrame | None = None) ->
     if scope is not None:
         # only values present in the changed rows can have become duplicates
         src = src.join(scope.select(*cols).distinct(), cols, "left_semi")
-    return src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
+    return by_key(src, *cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
 
 
 # Fixed values of Spark's bitmap functions, and what a row of a grouped count takes in a shuffle.
