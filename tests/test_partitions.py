@@ -51,3 +51,14 @@ def test_summary_of_a_large_table(table, monkeypatch, kind):
     monkeypatch.setattr(partitions, "TASK_BYTES", partitions.input_bytes(table) // 11)
     large = quality.summary({"t": table}, CHECKS[kind])
     assert dealt(large) == [11] and counts(large) == want
+
+
+@pytest.mark.parametrize("bitmaps", [False, True])
+def test_repeated_keys_of_a_large_table(table, monkeypatch, bitmaps):
+    monkeypatch.setattr(quality, "bitmap_pays", lambda keyed: False)
+    suite = [checks[0] for checks in CHECKS.values()]
+    want = counts(quality.failures({"t": table}, suite, bitmaps))
+    assert len(want) == 120 and ("t", "unique", "a", "1000", 2) in want
+    monkeypatch.setattr(partitions, "TASK_BYTES", partitions.input_bytes(table) // 11)
+    large = quality.failures({"t": table}, suite, bitmaps)
+    assert dealt(large) == [11, 11] and counts(large) == want
