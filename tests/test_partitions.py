@@ -62,3 +62,11 @@ def test_repeated_keys_of_a_large_table(table, monkeypatch, bitmaps):
     monkeypatch.setattr(partitions, "TASK_BYTES", partitions.input_bytes(table) // 11)
     large = quality.failures({"t": table}, suite, bitmaps)
     assert dealt(large) == [11, 11] and counts(large) == want
+
+
+def test_summary_of_silver_deals_the_facts(wh, monkeypatch):
+    from martflow.plans.scenarios import silver_tables
+    want = counts(quality.summary(silver_tables(wh)))
+    monkeypatch.setattr(partitions, "TASK_BYTES", partitions.input_bytes(wh.fact_orderitems) // 11)
+    large = quality.summary(silver_tables(wh))
+    assert 11 in dealt(large) and counts(large) == want
