@@ -95,7 +95,7 @@ def build_silver(store: TableStore, late_policy: str = "drop", grain: str = "day
                 "core", name, incoming, keys,
                 lambda existing, inc, keys=keys: merge_upsert(existing, inc, keys, late_policy="merge",
                                                               dedupe=False),
-                grain=grain, cluster_by=cluster,
+                grain=grain, cluster_by=cluster, derived=silver.derived_columns(name),
                 meta={"source_version": store.versions("staging", src)[-1], "late_dropped": late})
         finally:
             incoming.unpersist()

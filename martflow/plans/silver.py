@@ -7,7 +7,7 @@ newest version falls back to the previous valid one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from martflow.functions.columns import composite_key
 from martflow.operators.clean import clamp, newer_than, require, require_positive
@@ -31,6 +31,12 @@ ORDER_TIES = ["customer_id", "order_status", "total_amount", "payment_type"]
 ITEM_TIES = ["quantity", "line_total", "line_discount", "line_number"]
 
 
+
+def derived_columns(fact: str) -> dict[str, Column]:
+    """Columns of a fact that follow from others of the same row, and how."""
+    return {"order_product_key": composite_key("order_id", "product_id")} if fact == "fact_orderitems" else {}
+
+
 def _tiebreak(df: DataFrame, exclude) -> list[str]:
     return [c for c in df.columns if c not in exclude]
 
@@ -78,5 +84,5 @@ def fact_orderitems(stg_orderitems: DataFrame, hwm=None) -> DataFrame:
         df = newer_than(df, hwm)
     df = clamp(df, ITEM_AMOUNTS)
     df = latest_per_key(df, ["order_id", "product_id"], tiebreak=[c for c in ITEM_TIES if c in df.columns])
-    df = df.withColumn("order_product_key", composite_key("order_id", "product_id"))
+    df = df.withColumns(derived_columns("fact_orderitems"))
     return df.select(*FACT_ORDERITEMS_COLS)

@@ -29,10 +29,10 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -243,12 +243,15 @@ class TableStore:
             return F.year(d).cast("string")
         raise ValueError(f"unknown partition grain {grain!r}")
 
-    def _write_partitioned(self, df: DataFrame, base: str, part, cluster_by) -> dict[str, list[str]]:
+    def _write_partitioned(self, df: DataFrame, base: str, part, cluster_by, derived=None) -> dict[str, list[str]]:
         order = [PART] + list(cluster_by or [])
+        derived = derived or {}
         # Range partitioning on (partition, clustering columns) samples the
         # data, so one huge day is split over many tasks instead of one.  The
-        # partition is computed again behind the exchange, which need not carry it.
-        (df.repartitionByRange(part, *order[1:]).withColumn(PART, part).sortWithinPartitions(*order)
+        # partition and the derived columns are computed again behind the
+        # exchange, which need not carry them.
+        (df.drop(*derived).repartitionByRange(part, *order[1:]).withColumns({**derived, PART: part})
+         .select(*df.columns, PART).sortWithinPartitions(*order)
          .write.mode("errorifexists").partitionBy(PART).parquet(base))
         fs = self._fs(base)
         out: dict[str, list[str]] = {}
@@ -261,7 +264,8 @@ class TableStore:
     def upsert(self, layer: str, name: str, incoming: DataFrame, keys: Sequence[str],
                merge_fn, part_col: str = "created_at", grain: str = "day",
                cluster_by: Sequence[str] | None = None,
-               hwm_col: str | None = "created_at", meta: dict | None = None) -> int:
+               hwm_col: str | None = "created_at", meta: dict | None = None,
+               derived: Mapping[str, Column] | None = None) -> int:
         """Copy-on-write upsert that rewrites only the affected time partitions.
 
         ``grain`` sizes the partitions to the data: a partition should hold many
@@ -273,7 +277,8 @@ class TableStore:
         rewritten; partitions that receive rows are affected anyway and are
         left out of this search).  ``merge_fn(existing_subset_or_None, incoming)`` returns the
         new content of those partitions.  Unaffected partitions are carried
-        over by reference in the new commit.
+        over by reference in the new commit.  ``derived`` names columns that
+        follow from others of their row; the write computes them itself.
         """
         keys = list(keys)
         base, info = self.snapshot(layer, name)
@@ -282,7 +287,7 @@ class TableStore:
         if info is None or "partitions" not in info:
             existing = self.read(layer, name, base) if info else None
             return self._commit_partitions(layer, name, base, info, merge_fn(existing, incoming), None, part, layout,
-                                           cluster_by, hwm_col, incoming, meta)
+                                           cluster_by, hwm_col, incoming, meta, derived)
         self._check_layout(info, layout)
         affected = self.partition_names(incoming.select(part.alias(PART)))
         others = set(info["partitions"]) - affected
@@ -292,7 +297,7 @@ class TableStore:
                                              .select(part.alias(PART)))
         subset = self.read_partitions(layer, name, affected, base)
         return self._commit_partitions(layer, name, base, info, merge_fn(subset, incoming), affected, part, layout,
-                                       cluster_by, hwm_col, incoming, meta)
+                                       cluster_by, hwm_col, incoming, meta, derived)
 
     @staticmethod
     def partition_names(values: DataFrame) -> set[str]:
@@ -328,12 +333,12 @@ class TableStore:
                                        self.time_partition(part_col, grain), layout, cluster_by, None, None, meta)
 
     def _commit_partitions(self, layer, name, base, info, df, affected, part, layout, cluster_by, hwm_col,
-                           marks_from, meta) -> int:
+                           marks_from, meta, derived=None) -> int:
         """``meta`` may be a function of no arguments, called when the rows are written."""
         v = base + 1
         path = self._new_data_dir(layer, name, v)
         df, obs = self._observed(df, hwm_col if marks_from is not None else None)
-        written = self._write_partitioned(df, path, part, cluster_by) if affected != set() else {}
+        written = self._write_partitioned(df, path, part, cluster_by, derived) if affected != set() else {}
         if affected is None:
             pmap = written
         else:
