@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from martflow.operators import history, quality
 from martflow.operators.clean import newer_than
+from martflow.operators.dedupe import latest_of_repeated
 from martflow.operators.maintain import aggregate, apply_delta, maintained
 from martflow.operators.merge import late_count, merge_upsert
 from martflow.plans import gold, silver
@@ -89,7 +90,7 @@ def build_silver(store: TableStore, late_policy: str = "drop", grain: str = "day
         hwm = info.get("hwm") if info and late_policy == "drop" else None
         late = late_count(staged, hwm)
         # the batch is read several times (touched partitions, merge, sampling)
-        incoming = model(staged, hwm=hwm).persist()
+        incoming = model(staged, hwm=hwm, newest=latest_of_repeated).persist()
         try:
             out[name] = store.upsert(
                 "core", name, incoming, keys,

@@ -62,27 +62,28 @@ def dim_store(stg_stores: DataFrame) -> DataFrame:
     return df.select(*DIM_STORE_COLS)
 
 
-def fact_orders(stg_orders: DataFrame, hwm=None) -> DataFrame:
+def fact_orders(stg_orders: DataFrame, hwm=None, newest=latest_per_key) -> DataFrame:
     """Clean, keep the newest version per order, then (incremental runs) keep
     only orders newer than the target's high-water mark.
 
     The mark filter is applied *before* the window: for non-NULL created_at the
     newest row of a key passes iff any row of it passes, so the result is the
-    same and the window only sees the new batch.
+    same and the window only sees the new batch.  ``newest`` finds the newest
+    version per order; ``latest_of_repeated`` is for stored tables.
     """
     df = require(stg_orders, ["order_id"])
     if hwm is not None:
         df = newer_than(df, hwm)
     df = clamp(df, ORDER_AMOUNTS)
-    df = latest_per_key(df, ["order_id"], tiebreak=ORDER_TIES)
+    df = newest(df, ["order_id"], tiebreak=ORDER_TIES)
     return df.select(*FACT_ORDERS_COLS)
 
 
-def fact_orderitems(stg_orderitems: DataFrame, hwm=None) -> DataFrame:
+def fact_orderitems(stg_orderitems: DataFrame, hwm=None, newest=latest_per_key) -> DataFrame:
     df = require(stg_orderitems, ["order_id", "product_id"])
     if hwm is not None:
         df = newer_than(df, hwm)
     df = clamp(df, ITEM_AMOUNTS)
-    df = latest_per_key(df, ["order_id", "product_id"], tiebreak=[c for c in ITEM_TIES if c in df.columns])
+    df = newest(df, ["order_id", "product_id"], tiebreak=[c for c in ITEM_TIES if c in df.columns])
     df = df.withColumns(derived_columns("fact_orderitems"))
     return df.select(*FACT_ORDERITEMS_COLS)

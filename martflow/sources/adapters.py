@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow.functions.columns import money
+from martflow.functions.columns import SUM_DIGITS, money, unscaled_sum
 from martflow.sources.driver import DriverTables
 
 # Fixed values of the adapter contract (they define the test fixtures).
@@ -69,12 +69,13 @@ def staged_orderitems(t: DriverTables, precision=(12, 2)) -> DataFrame:
 
     ``line_number`` is kept as the final tie-break of the per-pair dedup.
     """
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                           "l_extendedprice", "l_discount", "l_shipdate")
+    # amounts as decimals take half of what doubles do in the exchange of a large join
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast(T.IntegerType()).alias("l_quantity"),
+                           *[money(c, precision).alias(c) for c in ("l_extendedprice", "l_discount")], "l_shipdate")
     # one row per key, visibly so: a query that drops the price drops this join
     part = t.part.groupBy("p_partkey").agg(F.max("p_retailprice").alias("p_retailprice"))
     negated, line_total, line_discount = _line_money(precision)
-    qty = F.col("l_quantity").cast(T.IntegerType())
+    qty = F.col("l_quantity")
     null_qty = (F.col("l_orderkey") % NULL_QUANTITY_MOD) == 0
     return (
         li.join(part, li.l_partkey == part.p_partkey, "left")
@@ -103,12 +104,17 @@ def staged_orders(t: DriverTables, precision=(12, 2)) -> DataFrame:
     """
     dec = T.DecimalType(*precision)
     _, line_total, line_discount = _line_money(precision)
+    shipping = line_total * money("l_tax", precision)
+    if precision[0] <= SUM_DIGITS:
+        discount_sum, shipping_sum = unscaled_sum(line_discount, precision[1]), unscaled_sum(shipping, 2 * precision[1])
+    else:
+        discount_sum, shipping_sum = F.sum(line_discount), F.sum(shipping)
     lines = (
         t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax")
         .groupBy("l_orderkey")
         .agg(F.min("l_suppkey").alias("store_id"),
-             F.sum(line_discount).alias("discount_sum"),
-             F.sum(line_total * money("l_tax", precision)).alias("shipping_sum"))
+             discount_sum.alias("discount_sum"),
+             shipping_sum.alias("shipping_sum"))
     )
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                         "o_orderdate", "o_orderpriority")

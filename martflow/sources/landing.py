@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 INTEGER_DIGITS = 6  # fixed value of the landing contract
+FILE_ROWS = 1_000_000  # a compressed file is read by one task
 LOAD_COL = "ingestion_ts"
 SOURCE_FILE = "_source_file"
 
@@ -119,10 +120,14 @@ def read_landing(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 def write_landing(df: DataFrame, path: str, schema: T.StructType, files: int | None = None,
                   mode: str = "errorifexists") -> None:
-    """Write entity rows as landing CSV (header, one file per partition)."""
+    """Write entity rows as landing CSV, gzipped (header, a file per partition and ``FILE_ROWS`` rows).
+
+    Text is the widest form the rows ever have; readers tell the compression by the file name.
+    """
     out = df.select(*[F.col(f.name) for f in schema.fields])
     if files:
         out = out.repartition(files)
     (out.write.mode(mode).option("header", "true").option("quote", '"')
      .option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+     .option("compression", "gzip").option("maxRecordsPerFile", str(FILE_ROWS))
      .csv(path))

@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from martflow.schemas import Layers
 
 WHOLE_EVERY = 20
+CODEC = "zstd"  # of appended and partitioned files; a replaced table may be a dimension, whose file size decides on broadcasts
 PART = "_part"
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
@@ -188,13 +189,14 @@ class TableStore:
             return None
         return None if m is None else m.isoformat(sep=" ")
 
-    def _write_version(self, df: DataFrame, path: str, cluster_by: Sequence[str] | None) -> None:
+    def _write_version(self, df: DataFrame, path: str, cluster_by: Sequence[str] | None, codec: str | None = None) -> None:
         if cluster_by:
             # Range-partition and sort on the clustering columns: files and row
             # groups then cover narrow min/max ranges, so later filters on
             # these columns skip most of them.
             df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-        df.write.mode("errorifexists").parquet(path)
+        writer = df.write.mode("errorifexists")
+        (writer.option("compression", codec) if codec else writer).parquet(path)
 
     def replace(self, layer: str, name: str, df: DataFrame, cluster_by: Sequence[str] | None = None,
                 hwm_col: str | None = None, meta: dict | None = None) -> int:
@@ -216,7 +218,7 @@ class TableStore:
         base, old = self.snapshot(layer, name)
         path = self._new_data_dir(layer, name, base + 1)
         df, obs = self._observed(df, hwm_col)
-        self._write_version(df, path, None)
+        self._write_version(df, path, None, CODEC)
         record = {"version": base + 1, "mode": "append", "schema": self._schema(df, old)}
         if old and (base + 1) % WHOLE_EVERY:
             record["add"] = [path]
@@ -252,7 +254,7 @@ class TableStore:
         # exchange, which need not carry them.
         (df.drop(*derived).repartitionByRange(part, *order[1:]).withColumns({**derived, PART: part})
          .select(*df.columns, PART).sortWithinPartitions(*order)
-         .write.mode("errorifexists").partitionBy(PART).parquet(base))
+         .write.mode("errorifexists").option("compression", CODEC).partitionBy(PART).parquet(base))
         fs = self._fs(base)
         out: dict[str, list[str]] = {}
         for st in fs.listStatus(self._Path(base)):
