@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -191,6 +192,15 @@ def _null_salt(unique: Check, row_checks: Sequence[Check]) -> list:
     return [F.when(F.col(unique.columns[0]).isNull(), F.xxhash64(*checked)).otherwise(F.lit(0).cast("long")).alias(SALT)]
 
 
+FAILS = "_fails"
+
+
+def _fails(row_checks: Sequence[Check]):
+    """The failed row checks of a row as one number, a bit for each: a row that is dealt carries no column per check."""
+    bits = [F.when(_row_fail(ch), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, ch in enumerate(row_checks)]
+    return reduce(lambda a, b: a + b, bits, F.lit(0).cast("long"))
+
+
 def _one_pass(df: DataFrame, row_checks: Sequence[Check], unique: Check) -> DataFrame:
     """All assertions of a table with one key from a single scan.
 
@@ -202,11 +212,11 @@ def _one_pass(df: DataFrame, row_checks: Sequence[Check], unique: Check) -> Data
     """
     checks = [*row_checks, unique]
     keys = list(unique.columns)
-    rows = df.select(*keys, *(_row_fail(ch).cast("int").alias(f"_f{i}") for i, ch in enumerate(row_checks)),
-                     *_null_salt(unique, row_checks))
+    rows = df.select(*keys, _fails(row_checks).alias(FAILS), *_null_salt(unique, row_checks))
     keys = [c for c in rows.columns if c in keys or c == SALT]
     per_key = by_key(rows, *keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *(F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(row_checks))))
+        F.count(F.lit(1)).alias("_n"),
+        *(F.sum(F.shiftright(FAILS, i).bitwiseAND(F.lit(1).cast("long"))).alias(f"_f{i}") for i in range(len(row_checks))))
     repeated = F.col("_n") > 1
     if unique.kind == "unique":  # NULL is no value that could repeat
         repeated = repeated & F.col(unique.columns[0]).isNotNull()
