@@ -70,3 +70,28 @@ def test_lines_meet_prices_without_doubles(wh):
     assert wide.size() == 2
     below = wh.stg_orderitems._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")[1]
     assert "as decimal(12,2)) AS l_extendedprice" in below and "as decimal(12,2)) AS l_discount" in below
+
+
+def test_dealt_rows_carry_one_number_for_all_row_checks(spark, scratch, monkeypatch):
+    from martflow.functions import partitions
+    from martflow.operators import quality
+    from martflow.operators.quality import Check
+    path = scratch("checked")
+    spark.sql("select id % 900 as k, if(id % 10 = 0, null, id % 4 - 1) as v, if(id % 7 = 0, -1, 1) as w from range(1000)").write.parquet(path)
+    df = spark.read.parquet(path)
+    monkeypatch.setattr(partitions, "TASK_BYTES", partitions.input_bytes(df) // 9)
+    suite = [Check("t", "unique", ("k",)), Check("t", "not_null", ("v",)), Check("t", "non_negative", ("v",)), Check("t", "non_negative", ("w",))]
+    got = quality.summary({"t": df}, suite)
+    want = {("not_null", "v"): df.where("v is null").count(), ("non_negative", "v"): df.where("v < 0").count(),
+            ("non_negative", "w"): df.where("w < 0").count(), ("unique", "k"): 100}
+    assert {(r["test"], r["columns"]): r["failures"] for r in got.collect()} == want and min(want.values()) > 0
+    dealt = got._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert dealt.count("AS _f") == 1 and "AS _fails" in dealt
+
+
+def test_line_sums_of_staged_orders_have_narrow_buffers(wh):
+    from martflow.operators import quality
+    from martflow.plans.scenarios import staged_tables
+    suite = [c for c in quality.SILVER_SUITE if c.model == "fact_orders"]
+    text = plan(quality.failures(staged_tables(wh), suite))
+    assert "partial_sum" in text and "isEmpty" not in text
