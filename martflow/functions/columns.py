@@ -68,8 +68,17 @@ def unscaled_sum(c, scale: int) -> Column:
     makes the partial sums of small groups, as the lines of an order, twice as wide in an exchange.
     A sum beyond 64 bits is an arithmetic error.
     """
-    units = F.sum((_col(c) * F.lit(10 ** scale)).cast(T.LongType()))
-    return units.cast(T.DecimalType(19, 0)) * F.lit(Decimal(1).scaleb(-scale))
+    return sum_of_units(unscaled(c, scale), scale)
+
+
+def unscaled(c, scale: int) -> Column:
+    """A decimal with ``scale`` digits behind the point as a 64-bit number of its smallest units."""
+    return (_col(c) * F.lit(10 ** scale)).cast(T.LongType())
+
+
+def sum_of_units(c, scale: int) -> Column:
+    """Sum of ``unscaled`` numbers as a decimal."""
+    return F.sum(c).cast(T.DecimalType(19, 0)) * F.lit(Decimal(1).scaleb(-scale))
 
 
 def money_sum(df: DataFrame, c: str) -> Column:

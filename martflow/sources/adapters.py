@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow.functions.columns import SUM_DIGITS, money, unscaled_sum
+from martflow.functions.columns import SUM_DIGITS, money, sum_of_units, unscaled
+from martflow.functions.partitions import by_key
 from martflow.sources.driver import DriverTables
 
 # Fixed values of the adapter contract (they define the test fixtures).
@@ -99,18 +100,20 @@ def staged_orders(t: DriverTables, precision=(12, 2)) -> DataFrame:
 
     store_id = smallest supplier of the order's lines, discount = sum of line
     discounts, shipping = sum(line_total * tax); all NULL for orders without
-    lines.  The line roll-up is a partial+final hash aggregate on the order key,
-    joined 1:1 to the orders.
+    lines.  The line roll-up is a hash aggregate on the order key, joined 1:1 to
+    the orders.  The lines of a large table are dealt by that key first: those of
+    an order need not lie together, so a task that combined its split before the
+    exchange could hold one entry for each of its lines.
     """
     dec = T.DecimalType(*precision)
     _, line_total, line_discount = _line_money(precision)
     shipping = line_total * money("l_tax", precision)
+    discount_sum, shipping_sum = F.sum("_discount"), F.sum("_shipping")
     if precision[0] <= SUM_DIGITS:
-        discount_sum, shipping_sum = unscaled_sum(line_discount, precision[1]), unscaled_sum(shipping, 2 * precision[1])
-    else:
-        discount_sum, shipping_sum = F.sum(line_discount), F.sum(shipping)
+        discount_sum, shipping_sum = sum_of_units("_discount", precision[1]), sum_of_units("_shipping", 2 * precision[1])
+        line_discount, shipping = unscaled(line_discount, precision[1]), unscaled(shipping, 2 * precision[1])
     lines = (
-        t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax")
+        by_key(t.lineitem.select("l_orderkey", "l_suppkey", line_discount.alias("_discount"), shipping.alias("_shipping")), "l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.min("l_suppkey").alias("store_id"),
              discount_sum.alias("discount_sum"),

@@ -70,3 +70,20 @@ def test_summary_of_silver_deals_the_facts(wh, monkeypatch):
     monkeypatch.setattr(partitions, "TASK_BYTES", partitions.input_bytes(wh.fact_orderitems) // 11)
     large = quality.summary(silver_tables(wh))
     assert 11 in dealt(large) and counts(large) == want
+
+
+@pytest.mark.parametrize("digits", [12, 14])
+def test_lines_are_dealt_by_order_before_they_are_rolled_up(wh, monkeypatch, digits):
+    from martflow.sources.adapters import staged_orders
+    suite = [c for c in quality.SILVER_SUITE if c.model == "fact_orders" and c.kind != "unique"]
+    small = staged_orders(wh.tables, (digits, 2))
+    want, failed = sorted(map(str, small.collect())), counts(quality.failures({"fact_orders": small}, suite))
+    assert failed and dealt(small) == []
+    monkeypatch.setattr(partitions, "TASK_BYTES", partitions.input_bytes(wh.tables.lineitem) // 11)
+    large = staged_orders(wh.tables, (digits, 2))
+    checked = quality.failures({"fact_orders": large}, suite)
+    assert dealt(large) == dealt(checked) == [11]
+    # below the exchange of the lines nothing is aggregated: what a map task holds does not grow with its split
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "Aggregate" not in plan.split("REPARTITION_BY_NUM")[1]
+    assert sorted(map(str, large.collect())) == want and counts(checked) == failed
